@@ -119,3 +119,19 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 def list_column(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32), pa.int32()), pa.array(values, kind))
+
+
+def squeeze(column: pa.Array) -> pa.Array:
+    """Strings as zstd frames, for a shuffle; null stays null."""
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=1).compress
+    return pa.array([None if t is None else pack(t.encode()) for t in column.to_pylist()], pa.binary())
+
+
+def unsqueeze(column: pa.Array) -> pa.Array:
+    """The strings again; null as empty."""
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array(["" if t is None else unpack(t).decode() for t in column.to_pylist()], pa.large_string())

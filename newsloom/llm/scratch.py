@@ -10,6 +10,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,9 +46,14 @@ def _clean() -> None:
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Let the context cleaner drop shuffle files of plans nothing refers to."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let the context cleaner drop shuffle files of plans nothing refers to.
+
+    The plan that has just run is let go of by the listeners a moment later.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 class Scratch:
@@ -58,14 +64,15 @@ class Scratch:
         self.folder = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0
 
-    def write(self, df: DataFrame, label: str = "t") -> DataFrame:
-        """Write df and return it read back, its lineage cut."""
+    def write(self, df: DataFrame, label: str = "t", release: bool = False) -> DataFrame:
+        """Write df and return it read back, its lineage cut; release: drop the shuffle files it took."""
         self.n += 1
         path = f"{self.folder}/{self.n:03d}-{label}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
-        release_shuffles(self.spark)
+        if release:
+            release_shuffles(self.spark)
         return out
 
     def drop(self, df: DataFrame) -> None:

@@ -56,7 +56,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null text: none. Null ids: no window of theirs counts or is removed. Rows
     that share an id are one document, held to have one text. Empty tables
-    give empty tables; other columns are ignored. Window hashes have 128 bits.
+    give empty tables; other columns are ignored. Window hashes have 96 bits.
+    Texts are shuffled as zstd frames; a text of any length is handled whole,
+    by one task.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
@@ -80,7 +82,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     once = rows.where("_id IS NOT NULL").mapInArrow(anchors, "gram long, _id long, place int")
     once = once.groupBy("gram").agg(F.count("*").alias("n"), F.min("_id").alias("_id"), F.min("place").alias("place")).where("n = 1")
     once = once.groupBy("_id").agg(F.collect_list("place").alias("single"))
-    joined = rows.join(once, "_id", "left").select("_id", "_text", "single")
+
+    def squeezed(batches):
+        import pyarrow as pa
+
+        from newsloom.llm import kernels as K
+
+        for batch in batches:
+            for part in K.slices(batch, "_text", 8_000_000):
+                yield pa.RecordBatch.from_arrays([part.column("_id"), K.squeeze(part.column("_text"))], names=["_id", "_text"])
+
+    joined = rows.mapInArrow(squeezed, "_id long, _text binary").join(once, "_id", "left").select("_id", "_text", "single")
 
     def windows(batches):
         import hashlib
@@ -92,9 +104,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         from newsloom.llm import kernels as K
 
         for batch in batches:
-            for part in K.slices(batch, "_text"):
+            for part in K.slices(batch, "_text", 600_000):
                 n = part.num_rows
-                column = pc.fill_null(part.column("_text"), "")
+                column = K.unsqueeze(part.column("_text"))
                 hashes, at = K.words(column)
                 start, anchor, _ = anchors_of(hashes, at, half)
                 single = np.zeros(len(hashes) + 1, bool)
@@ -120,11 +132,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 has = np.diff(by) > 0
                 sha = [None if has[i] else hashlib.sha256(b" ".join(texts[i].encode().split())).hexdigest() for i in range(n)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_id"), pa.array(np.diff(at), pa.int64()), pa.array(sha, pa.string()), pa.array([t if has[i] else None for i, t in enumerate(texts)], pa.string()), K.list_column(place, by, pa.int32()), *(K.list_column(x[lead], lead_by, kind) for x, kind in ((K.signed(h1[start]), pa.int64()), (K.signed(h2[start]), pa.int64()), (place, pa.int32())))],
+                    [part.column("_id"), pa.array(np.diff(at), pa.int64()), pa.array(sha, pa.string()), pa.array([t if h else None for h, t in zip(has.tolist(), part.column("_text").to_pylist(), strict=True)], pa.binary()), K.list_column(place, by, pa.int32()), *(K.list_column(x[lead], lead_by, kind) for x, kind in ((K.signed(h1[start]), pa.int64()), (h2[start].astype(np.uint32).view(np.int32), pa.int32()), (place, pa.int32())))],
                     names=["_id", "n_words", "sha", "_text", "place", "h1", "h2", "lead"],
                 )
 
-    level = scratch.write(joined.mapInArrow(windows, "_id long, n_words long, sha string, _text string, place array<int>, h1 array<long>, h2 array<long>, lead array<int>"), "windows")
+    level = scratch.write(joined.mapInArrow(windows, "_id long, n_words long, sha string, _text binary, place array<int>, h1 array<long>, h2 array<int>, lead array<int>"), "windows", release=True)
     flat = level.where("sha IS NULL").select("_id", F.explode(F.arrays_zip("h1", "h2", "lead")).alias("w")).select("_id", "w.h1", "w.h2", "w.lead")
     first = flat.groupBy("h1", "h2").agg(F.min("_id").alias("_first"), F.min_by("lead", "_id").alias("lead")).groupBy(F.col("_first").alias("_id")).agg(F.collect_list("lead").alias("first"))
     open_ = level.where("sha IS NULL").select("_id", "n_words", "_text", "place").join(first, "_id", "left")
@@ -135,9 +147,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         import numpy as np
         import pyarrow as pa
 
+        from newsloom.llm import kernels as K
+
         for batch in batches:
             removed, kept = [], []
-            for text, place, first, n in zip(batch.column("_text"), batch.column("place"), batch.column("first"), batch.column("n_words"), strict=True):
+            for text, place, first, n in zip(K.unsqueeze(batch.column("_text")), batch.column("place"), batch.column("first"), batch.column("n_words"), strict=True):
                 found = text.as_py().encode().split()
                 again = np.setdiff1d(place.values.to_numpy(), first.values.to_numpy() if first.is_valid else [])
                 edge = np.zeros(n.as_py() + 1, np.int64)

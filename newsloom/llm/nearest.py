@@ -72,7 +72,7 @@ class Index:
             yield np.flatnonzero(outside <= allowed)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame | None = None, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, every: int = 20, projections: int = 64, share: float = 0.1, threshold: float = 0.86, first: float = 1.6, growth: float = 1.06, rows_per_block: int = 16384, queries_per_block: int = 4096) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame | None = None, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, every: int = 20, projections: int = 96, share: float = 0.1, least: int = 400, threshold: float = 0.86, first: float = 1.6, growth: float = 1.06, rows_per_block: int = 16384, queries_per_block: int = 4096) -> DataFrame:
     """The k vectors of largest inner product found for each query: query_id, rank, vec_id, score.
 
     Queries are rows whose id divides by ``every`` (or the rows of
@@ -80,7 +80,7 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, id_col: str =
     by id hash into blocks; each block builds its sorted lines once and
     searches them for a block of queries at a time, so neither side is ever
     held whole. In each block windows grow until ``share`` of its rows (and
-    k) collide on ``threshold`` of the lines; these alone are verified by
+    ``least``) collide on ``threshold`` of the lines; these alone are verified by
     their inner product in double precision. The best k of all blocks follow.
 
     Vectors null, of an unusual length, zero or with null or non-finite parts
@@ -112,7 +112,7 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, id_col: str =
         own_ids, own = own_ids[order], own[order]
         if len(own_ids) and is_query.any():
             index = Index(own_ids, own, largest, projections)
-            enough = max(k + 1, int(share * len(own_ids)))
+            enough = max(k + 1, least, int(share * len(own_ids)))
             asked = np.flatnonzero(is_query)
             runs = (asked[a : a + 256] for a in range(0, len(asked), 256))
             for i, found in ((i, f) for run in runs for i, f in zip(run, index.candidates(flat[run], enough, threshold, first, growth), strict=True)):

@@ -135,3 +135,11 @@ def unsqueeze(column: pa.Array) -> pa.Array:
 
     unpack = zstandard.ZstdDecompressor().decompress
     return pa.array(["" if t is None else unpack(t).decode() for t in column.to_pylist()], pa.large_string())
+
+
+def unsqueeze_nulls(column: pa.Array) -> pa.Array:
+    """The strings again; null stays null."""
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array([None if t is None else unpack(t).decode() for t in column.to_pylist()], pa.string())

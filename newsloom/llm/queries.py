@@ -36,10 +36,57 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsloom.llm.html_extract import extract_main_text
+
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsloom.llm.mixing import mix
+
+    return mix(_table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsloom.llm.quality import importance
+
+    docs = _table(spark, sf_dir, "documents")
+    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
+    return importance(docs, docs.join(good, "doc_id", "left_semi"))
+
+
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsloom.llm.nearest import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsloom.llm.fingerprints import edited_fingerprints
+
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsloom.llm.toxicity import fit_toxicity, held_out, toxicity
+
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = fit_toxicity(docs, labels.where(~held_out(F.col("doc_id"))))
+    scored = toxicity(docs, model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_html_extraction": op2_html_extraction,
+    "op3_source_mixing": op3_source_mixing,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_importance_resampling": op6_importance_resampling,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 

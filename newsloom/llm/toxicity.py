@@ -194,17 +194,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     return KneserNey.fit(rows.column("_text").combine_chunks(), toxic, sizes[1] / (sizes[0] + sizes[1]))
 
 
-def toxicity(docs: DataFrame, model: KneserNey, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, score (0 to 1) and predicted (1 if score >= 0.5) of every row.
+def toxicity(docs: DataFrame, model: KneserNey, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, score_col: str = "score", predicted_col: str = "predicted") -> DataFrame:
+    """score (0 to 1) and predicted (1 if score >= 0.5) of every row, beside its id or (carry) all its columns.
 
     The score is a logistic function of the mean ratio of toxic and ordinary
     log-likelihoods by word. Null texts score as empty ones: as the offset
     alone has it. Whole texts of any length; nothing but the text is read.
+    Carried columns of the names of score_col or predicted_col are replaced.
     """
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(model)  # bounded by fit_toxicity's per_class
-    rows = docs.select(docs[id_col].alias("_id"), docs[text_col].cast("string").alias("_text"))
-    kind = dict(rows.dtypes)["_id"]
+    rows = docs.drop(score_col, predicted_col) if carry else docs.select(id_col, text_col)
+    back = [f for f in rows.schema if carry or f.name == id_col]
+    names = [f.name for f in back]
 
     def run(batches):
         import pyarrow as pa
@@ -213,11 +215,11 @@ def toxicity(docs: DataFrame, model: KneserNey, id_col: str = "doc_id", text_col
         from newsloom.llm import kernels as K
 
         for batch in batches:
-            for part in K.slices(batch, "_text"):
-                score = held.value.scores(pc.fill_null(part.column("_text"), ""))
-                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))], names=[id_col, "score", "predicted"])
+            for part in K.slices(batch, text_col):
+                score = held.value.scores(pc.fill_null(part.column(text_col), ""))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))], names=[*names, score_col, predicted_col])
 
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int")
+    return rows.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in back), f"{score_col} double", f"{predicted_col} int"]))
 
 
 def held_out(column) -> F.Column:

@@ -109,6 +109,52 @@ def confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFr
     return both.mapInArrow(run, "a long, b long")
 
 
+def cells(rows: DataFrame, key: str, most: int, lone: str | None = None) -> DataFrame:
+    """Rows dealt to cells (key, i, j) so that any two rows of a key meet in one and no cell is large.
+
+    A key's rows fall by hash into blocks of about ``most``; a cell holds two
+    blocks. With ``lone``, only pairs with such a row are asked for: blocks of
+    lone rows (i) meet one another and blocks of the others (j), which are
+    numbered after them. Adds _left: whether a row is of block i.
+    """
+    flag = F.col(lone) if lone else F.lit(True)
+    sizes = rows.groupBy(F.col(key).alias("_key")).agg(F.ceil(F.count_if(flag) / most).alias("_bi"), F.ceil(F.count_if(~flag) / most).alias("_bj"))
+    own = rows.join(sizes, F.col(key) == F.col("_key"))
+    place = F.when(flag, F.pmod(F.xxhash64("rep"), "_bi")).otherwise(F.col("_bi") + F.pmod(F.xxhash64("rep"), "_bj"))
+    own = own.withColumn("_b", place)
+    last = F.col("_bi") + F.col("_bj") - 1
+    as_left = F.transform(F.sequence(F.col("_b"), last), lambda j: F.struct(F.col("_b").alias("i"), j.alias("j"), F.lit(True).alias("left")))
+    as_right = F.transform(F.sequence(F.lit(0).cast("long"), F.least(F.col("_b"), F.col("_bi")) - 1), lambda i: F.struct(i.alias("i"), F.col("_b").alias("j"), F.lit(False).alias("left")))
+    nothing = F.array().cast("array<struct<i:bigint,j:bigint,left:boolean>>")
+    places = F.concat(F.when(flag, as_left).otherwise(nothing), F.when(F.least("_b", "_bi") > 0, as_right).otherwise(nothing))
+    dealt = own.withColumn("_c", F.explode(places)).select(*rows.columns, F.col("_c.i").alias("_i"), F.col("_c.j").alias("_j"), F.col("_c.left").alias("_left"))
+    return dealt.withColumn("_cell", F.xxhash64(key, "_i", "_j"))
+
+
+def per_cell(dealt: DataFrame, work) -> DataFrame:
+    """Edges (a, b) that work(table of one cell) yields; many small cells share a call."""
+    spark = dealt.sparkSession
+    rows = dealt.count()
+    calls = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // 4000))
+
+    def run(table):
+        import numpy as np
+        import pyarrow as pa
+
+        table = table.combine_chunks().sort_by([("_cell", "ascending"), ("_left", "descending"), ("rep", "ascending")])
+        cell = table.column("_cell").to_numpy()
+        cuts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])).tolist() + [len(cell)]
+        a, b = [], []
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            if j - i > 1:
+                for x, y in work(table.slice(i, j - i)):
+                    a.append(x)
+                    b.append(y)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.groupBy(F.pmod(F.xxhash64("_cell"), F.lit(calls)).alias("_call")).applyInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: tuple[int, int] = (8, 10), width: int = 5, margin: float = 0.18) -> DataFrame:
     """Per row: id, n_shingles, component_id, kept.
 
@@ -120,13 +166,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     1. One pass gives each row its 128 minima, of which the low 4 bits are
        packed into 8 longs, and 32 band keys. Rows of one word sequence form
        a class; only its smallest id goes on.
-    2. Members of a band bucket are compared with its smallest member. Then
-       members of a bucket that are still in different components are
-       compared with one another. So a group of similar rows costs links in
-       proportion to its size. A pair is a candidate if the estimate from the
-       packed bits, corrected for chance agreement, is within ``margin``
-       (over five standard deviations) of the threshold.
-    3. Candidates are confirmed on the full sets.
+    2. Members of a band bucket are compared with its smallest member. A pair
+       is a candidate if the estimate from the packed bits, corrected for
+       chance agreement, is within ``margin`` (over five standard deviations)
+       of the threshold. Candidates are confirmed on the full sets. So most of
+       a group of similar rows is linked in proportion to its size.
+    3. What is still in different components of one bucket is compared by the
+       packed bits, and rows that candidates tie together form a cluster. In
+       each cluster, rows outside its largest-known component meet all others
+       by their full sets. Both comparisons run in cells of bounded size and
+       return one edge for each merger, not each pair.
 
     A pair at similarity s shares no band with probability (1 - s^4)^32: 5e-11
     at 0.85, 5e-8 at 0.8. Null or empty texts have no shingles and no links.
@@ -139,24 +188,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     num, den = share
     signed = scratch.write(signatures(docs, id_col, text_col, width), "signatures")
     keyed = signed.where("n_shingles > 0 AND _id IS NOT NULL")
-    classes = scratch.write(keyed.groupBy("k1", "k2").agg(F.min("_id").alias("rep"), F.count("*").alias("n")), "classes")
+    classes = scratch.write(keyed.groupBy("k1", "k2").agg(F.min("_id").alias("rep")), "classes")
     planes = [f"p{i}" for i in range(PLANES)]
     reps = keyed.join(classes, (keyed._id == classes.rep) & (keyed.k1 == classes.k1) & (keyed.k2 == classes.k2)).select(F.col("rep"), "n_shingles", *planes, "bands").dropDuplicates(["rep"])
     reps = scratch.write(reps, "reps")
 
     banded = reps.select("rep", F.explode("bands").alias("bucket"))
     buckets = banded.groupBy("bucket").agg(F.min("rep").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = scratch.write(banded.join(buckets, "bucket").select("bucket", "center", "rep"), "members")
+    members = scratch.write(banded.join(buckets, "bucket").select("bucket", "center", "rep"), "members", release=True)
     bits = reps.select("rep", "n_shingles", *planes)
     least = num / den - margin
 
-    def likely(pairs: DataFrame) -> DataFrame:
-        """Of distinct pairs (a, b), those whose sizes and packed bits allow a link."""
-        x, y = bits.alias("x"), bits.alias("y")
-        joined = pairs.alias("p").join(x, F.col("p.a") == F.col("x.rep")).join(y, (F.col("p.b") == F.col("y.rep")) & (den * F.least("x.n_shingles", "y.n_shingles") >= num * F.greatest("x.n_shingles", "y.n_shingles")) & (estimate("x", "y") >= least))
-        return joined.select("p.a", "p.b")
-
-    first = scratch.write(likely(members.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()), "pairs")
+    x, y = bits.alias("x"), bits.alias("y")
+    stars = members.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct().alias("p")
+    likely = stars.join(x, F.col("p.a") == F.col("x.rep")).join(y, (F.col("p.b") == F.col("y.rep")) & (den * F.least("x.n_shingles", "y.n_shingles") >= num * F.greatest("x.n_shingles", "y.n_shingles")) & (estimate("x", "y") >= least))
+    first = scratch.write(likely.select("p.a", "p.b"), "pairs")
     wanted = members.select(F.col("rep").alias("_id")).distinct()
     texts = docs.select(docs[id_col].cast("long").alias("_id"), docs[text_col].cast("string").alias("_text")).join(wanted, "_id", "left_semi")
 
@@ -171,18 +217,78 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 found = [shingle_set(hashes[at[i] : at[i + 1]], width).tobytes() for i in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(found, pa.binary())], names=["_id", "shingles"])
 
-    sets = scratch.write(texts.mapInArrow(to_sets, "_id long, shingles binary").where("length(shingles) > 0").dropDuplicates(["_id"]), "sets")
-    links = scratch.write(confirm(first, sets, share), "links")
+    sets = scratch.write(texts.mapInArrow(to_sets, "_id long, shingles binary").where("length(shingles) > 0").dropDuplicates(["_id"]), "sets", release=True)
+    links = scratch.write(confirm(first, sets, share), "links", release=True)
     parts = scratch.write(connected_components(scratch, links), "components")
 
     # members of one bucket that are in different components yet
     placed = members.join(parts, members.rep == parts.node, "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-    open_ = placed.groupBy("bucket").agg(F.min("component").alias("main"), F.max("component").alias("_other")).where("main < _other").drop("_other")
-    placed = scratch.write(placed.join(open_, "bucket").join(bits, "rep"), "open")
-    x, y = placed.where("component <> main").alias("x"), placed.alias("y")
-    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & (den * F.least("x.n_shingles", "y.n_shingles") >= num * F.greatest("x.n_shingles", "y.n_shingles")) & (estimate("x", "y") >= least))
-    rest = rest.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = scratch.write(confirm(rest, sets, share), "links")
+    open_ = placed.groupBy("bucket").agg(F.min("component").alias("_main"), F.max("component").alias("_other")).where("_main < _other").select("bucket")
+    open_ = scratch.write(placed.join(open_, "bucket").join(bits, "rep"), "open")
+
+    def tie(table):
+        """Edges that join components by candidates, by the packed bits."""
+        import numpy as np
+
+        n = table.num_rows
+        rep, size = table.column("rep").to_numpy(), table.column("n_shingles").to_numpy()
+        label = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
+        packed = np.stack([table.column(p).to_numpy() for p in planes], axis=1).view(np.uint64)
+        chance = 2.0**-BITS
+        for i in range(n):
+            other = np.flatnonzero(label != label[i])
+            if not len(other):
+                return
+            differ = packed[other] ^ packed[i]
+            zeros = 0
+            for word in range(2):
+                zeros = zeros + 64 - np.bitwise_count(np.bitwise_or.reduce(differ[:, word::2], axis=1)).astype(int)
+            near = ((zeros / HASHES - chance) / (1 - chance) >= least) & (den * np.minimum(size[other], size[i]) >= num * np.maximum(size[other], size[i]))
+            for j in other[near].tolist():
+                if label[j] != label[i]:
+                    yield rep[i], rep[j]
+                    label[label == label[j]] = label[i]
+
+    ties = scratch.write(per_cell(cells(open_, "bucket", 2048), tie), "ties")
+    if not ties.limit(1).count():
+        more = links.limit(0)
+    else:
+        clusters = connected_components(scratch, links.unionByName(ties)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+        inside = clusters.join(parts, clusters.rep == parts.node, "left").select("rep", "cluster", F.coalesce("component", "rep").alias("component"))
+        sizes = inside.groupBy("cluster", "component").count()
+        main = sizes.groupBy("cluster").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("n")).where("n > 1").drop("n")
+        inside = inside.join(main, "cluster").withColumn("apart", F.col("component") != F.col("main")).drop("main")
+        inside = scratch.write(inside, "clusters")
+
+        def link(table):
+            """Edges that join components by links on full sets."""
+            import numpy as np
+
+            left = table.column("_left").to_numpy(zero_copy_only=False)
+            rep = table.column("rep").to_numpy()
+            label = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
+            held = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("shingles")]
+            size = np.array([len(v) for v in held])
+            at = np.concatenate([[0], np.cumsum(size)])
+            _, word = np.unique(np.concatenate(held), return_inverse=True)
+            order = np.argsort(word, kind="stable")
+            row = np.repeat(np.arange(len(held)), size)[order]
+            start = np.concatenate([[0], np.cumsum(np.bincount(word))])
+            for i in np.flatnonzero(left):
+                if (label == label[i]).all():
+                    return
+                mine = word[at[i] : at[i + 1]]
+                lengths = start[mine + 1] - start[mine]
+                spots = np.repeat(start[mine] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
+                same = np.bincount(row[spots], minlength=len(held))
+                near = (den * same >= num * (size + size[i] - same)) & (label != label[i])
+                for j in np.flatnonzero(near).tolist():
+                    if label[j] != label[i]:
+                        yield rep[i], rep[j]
+                        label[label == label[j]] = label[i]
+
+        dealt = cells(inside, "cluster", 512, "apart").join(sets, F.col("rep") == F.col("_id")).drop("_id")
+        more = scratch.write(per_cell(dealt, link), "links", release=True)
     if more.limit(1).count():
         parts = scratch.write(connected_components(scratch, links.unionByName(more)), "components")
 

@@ -6,11 +6,12 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import LongType
 
 from newsloom.functions.text import title_tokens
 
 
-@pandas_udf("long")
+@pandas_udf(LongType())
 def _simhash(tokens: pd.Series) -> pd.Series:
     """Majority bits of BLAKE2b-64 of three-word shingles; Spark has no BLAKE2b."""
     import hashlib

@@ -6,11 +6,12 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType, StructField, StructType
 
-ARTICLE = "published string, modified string, title string, summary string, cover string, author string"
+ARTICLE = StructType([StructField(x, StringType()) for x in ("published", "modified", "title", "summary", "cover", "author")])
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def unescape(text: pd.Series) -> pd.Series:
     """All named and numbered character references; Spark has no such function."""
     import html

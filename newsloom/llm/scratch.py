@@ -1,114 +1,13 @@
-"""Tables written between jobs, ranks and connected components.
-
-A multi-job operator cuts lineage by writing a table below the folder named in
-``spark.checkpoint.dir``, which driver and executors share, so a lost executor
-costs a re-read and never a recomputation of the whole job.
-"""
+"""Ranks over written tables; the tables and components are the engine's own."""
 
 from __future__ import annotations
 
-import atexit
-import gc
-import tempfile
-import time
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_roots: dict[str, SparkSession] = {}
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """This application's own folder below ``spark.checkpoint.dir``."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="newsloom-")  # single-machine sessions only
-        spark.conf.set("spark.checkpoint.dir", base)
-    root = f"{base.rstrip('/')}/newsloom-{spark.sparkContext.applicationId}"
-    _roots[root] = spark
-    return root
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-@atexit.register
-def _clean() -> None:
-    for root, spark in _roots.items():
-        try:
-            delete_path(spark, root)
-        except Exception:  # noqa: BLE001  the session has ended already
-            pass
-
-
-def release_shuffles(spark: SparkSession) -> None:
-    """Let the context cleaner drop shuffle files of plans nothing refers to.
+from newsloom.operators.tables import Scratch, connected_components, delete_path, release_shuffles, scratch_root
 
-    The plan that has just run is let go of by the listeners a moment later.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
-
-
-class Scratch:
-    """Written intermediate tables of one operator call."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.folder = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-        self.n = 0
-
-    def write(self, df: DataFrame, label: str = "t", release: bool = False) -> DataFrame:
-        """Write df and return it read back, its lineage cut; release: drop the shuffle files it took."""
-        self.n += 1
-        path = f"{self.folder}/{self.n:03d}-{label}"
-        df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._scratch_path = path
-        if release:
-            release_shuffles(self.spark)
-        return out
-
-    def drop(self, df: DataFrame) -> None:
-        delete_path(self.spark, df._scratch_path)
-
-
-def connected_components(scratch: Scratch, links: DataFrame) -> DataFrame:
-    """(node, component) of the undirected links (a, b); component: smallest node.
-
-    Alternating large-star and small-star steps. The smallest neighbour is
-    found by a partially aggregated group-by and joined back, so that a node
-    with very many links is never gathered into one task. Nodes come from
-    links only. Raises if it has not converged after 60 rounds.
-    """
-    edges = scratch.write(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    before = None
-    for _ in range(60):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        # large star: larger neighbours of u are tied to the least of u's neighbourhood
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        # small star: u and its smaller neighbours are tied to the least one
-        small_least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(small_least, "u")
-        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_least.select("u", F.col("m").alias("v")))
-        after = scratch.write(small.where("u <> v").distinct(), "edges")
-        now = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        scratch.drop(edges)
-        edges = after
-        if (now["n"], now["s"]) == before:
-            break
-        before = (now["n"], now["s"])
-    else:
-        raise RuntimeError("connected components did not converge in 60 rounds")
-    return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+__all__ = ["Scratch", "connected_components", "delete_path", "rank_within", "release_shuffles", "scratch_root"]
 
 
 def rank_within(df: DataFrame, keys: list[str], order: list, salt_of: str, buckets: int, to: str) -> DataFrame:

@@ -76,15 +76,18 @@ class KneserNey:
     def _fit(cls, hashes: np.ndarray, at: np.ndarray, toxic: np.ndarray) -> KneserNey:
         own = cls()
         size = np.diff(at)
-        text, label = np.repeat(np.arange(len(size)), size), np.repeat(toxic > 0, size)
-        everything = np.unique(hashes)
-        v_all = cls._find(everything, hashes)
+        text, label = np.repeat(np.arange(len(size), dtype=np.int32), size), np.repeat(toxic > 0, size)
         own.words = cls._telling(hashes, text, toxic)
         v = len(own.words)
         ids = cls._find(own.words, hashes)
         here = np.flatnonzero(text[1:] == text[:-1]) + 1
         # shared: how many different words precede a telling word, in either class
-        kinds = np.unique(v_all[here - 1].astype(np.int64) * (v + 1) + ids[here]) % (v + 1)
+        telling = np.flatnonzero(ids[here] < v)
+        before, after_ = hashes[here[telling] - 1], ids[here[telling]]
+        order = np.lexsort((after_, before))
+        new = np.ones(len(order), bool)
+        new[1:] = (before[order][1:] != before[order][:-1]) | (after_[order][1:] != after_[order][:-1])
+        kinds = np.append(after_[order][new], np.full(len(np.unique(hashes[ids == v])), v))
         followed = np.bincount(kinds, minlength=v + 1)
         shared = (followed + 0.5) / (followed + 0.5).sum()
         key = ids[here - 1].astype(np.int64) * (v + 1) + ids[here]
@@ -111,12 +114,16 @@ class KneserNey:
 
     @classmethod
     def fit(cls, texts, toxic: np.ndarray, share: float | None = None) -> KneserNey:
-        """texts: Arrow strings; toxic: 0 or 1 by text; share: of toxic ones among all, if not as here.
+        """texts: Arrow strings; toxic: 0 or 1 by text; share: of toxic ones among all, if not as here."""
+        return cls.fit_words(*tokens(texts), toxic, share)
+
+    @classmethod
+    def fit_words(cls, hashes: np.ndarray, at: np.ndarray, toxic: np.ndarray, share: float | None = None) -> KneserNey:
+        """As fit, from word hashes and their offsets by text.
 
         The logistic scale is learned on ratios that models of the other folds
         give, since a model knows the texts it counted.
         """
-        hashes, at = tokens(texts)
         size, n = np.diff(at), len(toxic)
         out = np.zeros(n)
         fold = np.arange(n) % cls.FOLDS
@@ -171,7 +178,7 @@ class KneserNey:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.means(*tokens(texts)) + self.offset, -30, 30)))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 6000) -> KneserNey:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 2500) -> KneserNey:
     """A model of labelled rows, of which it takes ``per_class`` of each class at most.
 
     The bound holds what the driver collects; the rows are those of smallest
@@ -185,13 +192,32 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         part = known.where(F.col("_toxic") == y).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(docs[id_col].alias("_id"), docs[text_col].cast("string").alias("_text")).where("_text IS NOT NULL")
-    # bounded by per_class
-    rows = texts.join(F.broadcast(chosen), "_id").select("_id", "_toxic", "_text").toArrow()
-    rows = rows.sort_by([("_id", "ascending")]).combine_chunks()
+    kind = dict(texts.dtypes)["_id"]
+
+    def hashed(batches):
+        import pyarrow as pa
+
+        from newsloom.llm import kernels as K
+
+        for batch in batches:
+            for part in K.slices(batch, "_text"):
+                found, at = tokens(part.column("_text"))
+                yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_toxic"), K.list_column(K.signed(found), at, pa.int64())], names=["_id", "_toxic", "words"])
+
+    # bounded by per_class; texts are cut into words where they are
+    rows = texts.join(F.broadcast(chosen), "_id").select("_id", "_toxic", "_text").mapInArrow(hashed, f"_id {kind}, _toxic int, words array<long>").toArrow()
     toxic = rows.column("_toxic").to_numpy().astype(np.float64)
     if not len(toxic) or toxic.min() == toxic.max():
         return KneserNey(*(np.zeros(k, t) for k, t in ((0, np.uint64), (1, float), (1, float), (0, np.int64), (0, float))), offset=-1.0)
-    return KneserNey.fit(rows.column("_text").combine_chunks(), toxic, sizes[1] / (sizes[0] + sizes[1]))
+    order = np.argsort(rows.column("_id").to_numpy(), kind="stable")
+    lists = rows.column("words").combine_chunks()
+    del rows
+    at, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+    size = np.diff(at)[order]
+    starts = at[:-1][order]
+    to = np.concatenate([[0], np.cumsum(size)])
+    words = flat[np.repeat(starts - to[:-1], size) + np.arange(to[-1])]
+    return KneserNey.fit_words(words, to, toxic[order], sizes[1] / (sizes[0] + sizes[1]))
 
 
 def toxicity(docs: DataFrame, model: KneserNey, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, score_col: str = "score", predicted_col: str = "predicted") -> DataFrame:

@@ -8,7 +8,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.scratch import Scratch, rank_within
+from newsloom.llm.scratch import rank_within
 
 
 def frame(weights: dict, slots: int) -> dict:
@@ -101,11 +101,9 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
     are; rows of a hot source are ranked by many tasks. A null source is a
     source of its own; sources without a given weight get the smallest one
     given. Null ids and repeated rows keep their places. An empty table gives
-    an empty one.
+    an empty one. A column mix_position is replaced.
     """
     spark = docs.sparkSession
-    scratch = Scratch(spark, "mix")
-    # only keys are ranked; a row's number within equal keys tells repeated rows apart
     counts = {r[source_col]: r["count"] for r in docs.groupBy(source_col).count().collect()}
     if weights is None:
         weights = target_weights(counts, power)
@@ -115,7 +113,7 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
     number = {s: i for i, s in enumerate(names)}
     plan = phases({number[s]: -(-n // block) for s, n in counts.items()}, {number[s]: w for s, w in weights.items()}, slots)
     # of each phase and source: blocks given before it, its slots in a frame
-    rows, seen = [], {}
+    rows = []
     for k, (first, order, given, length) in enumerate(plan):
         own: dict = {}
         for t, s in enumerate(order):
@@ -125,7 +123,6 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
         for s, places in own.items():
             until = after.get(s, -(-counts[names[s]] // block)) if after is not None else -(-counts[names[s]] // block)
             rows.append((s, given[s], until, first, size, places))
-        seen[k] = size
     table = spark.createDataFrame(rows, "_source int, _from long, _until long, _first long, _size long, _places array<int>")
     numbers = spark.createDataFrame([(s, number[s]) for s in names], f"`{source_col}` {docs.schema[source_col].dataType.simpleString()}, _source int")
     # both tables are bounded by the number of sources and phases
@@ -154,7 +151,7 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
     before = F.element_at("_missing", F.size(F.filter("_short", lambda x: x < F.col("_slot"))) + 1)
     position = F.col("_slot") * block + F.col("_rank") % block - before
     out = placed.withColumn("mix_position", position.cast("long"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "mix_position")
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c != "mix_position"], "mix_position")
 
 
 def mixed_rows(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", rows_per_part: int = 50_000, **more) -> DataFrame:
@@ -164,8 +161,7 @@ def mixed_rows(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_
     needed to range them. Texts travel as zstd frames.
     """
     spark = docs.sparkSession
-    columns = docs.columns
-    place = columns.index(text_col)
+    place = docs.columns.index(text_col)
 
     def on_text(change, kind: str):
         def run(batches):

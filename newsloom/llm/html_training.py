@@ -115,12 +115,15 @@ class _Page:
         return self.within(self.r.choice(["div", "ul"]), self.mark(_SOCIAL, 1), "".join(f"<li>{self.link(self.text(self.some(1, 2), 0))}</li>" for _ in range(self.r.randint(2, 4))))
 
     def comments(self) -> str:
-        parts = [self.within("h3", "", self.text(self.some(1, 3), 0))]
+        wrapped = self.r.random() < 0.8
+        parts = [self.within("h3", "", self.text(self.some(1, 3), 0)) if wrapped else ""]
         for _ in range(self.r.randint(1, 5)):
             who = self.r.choice(["", self.within(self.r.choice(["span", "div", "h4"]), self.mark(["author", "user", "name"], 0.7), self.text(self.some(1, 2), 0))])
             said = "".join(self.within("p", "", self.text(self.sentences(1, 4), 0)) for _ in range(self.r.randint(1, 2)))
             tag = self.r.choice(["div", "li", "article", "section"])
-            parts.append(self.within(tag, self.mark(["comment", "reply", "response", "comment body"], 0.7), who + said))
+            parts.append(self.within(tag, self.mark(["comment", "reply", "response", "comment body"], 0.7 if wrapped else 1), who + said))
+        if not wrapped:
+            return "".join(parts[1:])
         return self.within(self.r.choice(["div", "section", "ol"]), self.mark(_COMMENTS, 1), "".join(parts) + self.r.choice(["", self.form()]))
 
     # main text
@@ -157,8 +160,8 @@ class _Page:
         parts = [title]
         for _ in range(self.r.choice([0, 1, 2, 3, 5, 8, 14])):
             parts.append(self.part())
-            if self.r.random() < 0.06:
-                parts.append(self.r.choice([self.advert, self.social, self.form, self.side, self.notice])())
+            if self.r.random() < 0.15:
+                parts.append(self.r.choice([self.advert, self.advert, self.social, self.form, self.side, self.notice])())
         if title == "" and len(parts) == 1:
             parts.append(self.paragraph())
         inside = "".join(parts)

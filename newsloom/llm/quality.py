@@ -16,9 +16,12 @@ def bucket_counts(docs: DataFrame, text_col: str, buckets: int) -> np.ndarray:
     def run(batches):
         import pyarrow as pa
 
+        from newsloom.llm import kernels as K
+
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            total += np.bincount(hashed(batch.column("_text"), buckets)[0], minlength=buckets)
+            for part in K.slices(batch, "_text"):
+                total += np.bincount(hashed(part.column("_text"), buckets)[0], minlength=buckets)
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(total[there])], names=["bucket", "n"])
 

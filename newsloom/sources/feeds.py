@@ -9,6 +9,14 @@ from newsloom.functions.dates import parse_date
 from newsloom.functions.html import unescape
 from newsloom.functions.text import host_of, last_segment, without_suffix
 
+# The formats of feeds and of batch replies.
+ITEM = r"(?s)<item>(.*?)</item>"
+ENTRY = r"(?s)<entry>(.*?)</entry>"
+SOURCE = r'(?s)<source url="(.*?)"[^>]*>(.*?)</source>'
+LINK_TEXT = r"(?s)<link[^>]*>(?:<!\[CDATA\[)?(https?://.*?)(?:\]\]>)?</link>"
+LINK_HREF = r'<link[^>]*href="(https?://[^"]+)"'
+ENVELOPE = r'\["wrb\.fr","[^"]*","((?:[^"\\]|\\.)*)",null,null,null,"(\d+)"\]'
+
 
 def _inside(block, tag: str):
     return F.nullif(F.regexp_extract(block, rf"(?s)<{tag}[^>]*>(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?</{tag}>", 1), F.lit(""))
@@ -20,16 +28,15 @@ def search_feed(feeds: DataFrame, xml: str = "xml", expression: str = "expressio
     The outlet's name is cut from the title's end; gid is the link's last path
     part; dates are of the index and so approximate.
     """
-    items = feeds.select(expression, F.explode(F.regexp_extract_all(xml, F.lit("(?s)<item>(.*?)</item>"), F.lit(1))).alias("_b"))
+    items = feeds.select(expression, F.explode(F.regexp_extract_all(xml, F.lit(ITEM), F.lit(1))).alias("_b"))
     b = F.col("_b")
-    source = r'(?s)<source url="(.*?)"[^>]*>(.*?)</source>'
     named = items.select(
         expression,
         F.trim(unescape(_inside(b, "title"))).alias("_t"),
         F.trim(unescape(_inside(b, "link"))).alias("feed_url"),
         parse_date(unescape(_inside(b, "pubDate")))["at"].alias("published"),
-        F.nullif(host_of(F.regexp_extract(b, source, 1)), F.lit("")).alias("outlet_domain"),
-        F.nullif(F.trim(unescape(F.regexp_extract(b, source, 2))), F.lit("")).alias("outlet_name"),
+        F.nullif(host_of(F.regexp_extract(b, SOURCE, 1)), F.lit("")).alias("outlet_domain"),
+        F.nullif(F.trim(unescape(F.regexp_extract(b, SOURCE, 2))), F.lit("")).alias("outlet_name"),
     ).where("_t IS NOT NULL AND feed_url IS NOT NULL")
     title = F.coalesce(without_suffix("_t", "outlet_name"), F.col("_t"))
     return named.select(title.alias("title"), last_segment("feed_url").alias("gid"), "feed_url", "published", F.lit("approximate").alias("published_precision"), "outlet_domain", "outlet_name", F.lit("search").alias("collector"), expression)
@@ -37,13 +44,13 @@ def search_feed(feeds: DataFrame, xml: str = "xml", expression: str = "expressio
 
 def native_feed(feeds: DataFrame, xml: str = "xml", url: str = "feed_url") -> DataFrame:
     """One row per RSS <item>, or Atom <entry> where there is none, of an outlet's own feed."""
-    blocks = F.regexp_extract_all(xml, F.lit("(?s)<item>(.*?)</item>"), F.lit(1))
-    entries = F.regexp_extract_all(xml, F.lit("(?s)<entry>(.*?)</entry>"), F.lit(1))
+    blocks = F.regexp_extract_all(xml, F.lit(ITEM), F.lit(1))
+    entries = F.regexp_extract_all(xml, F.lit(ENTRY), F.lit(1))
     items = feeds.select(url, F.explode(F.when(F.size(blocks) > 0, blocks).otherwise(entries)).alias("_b"))
     b = F.col("_b")
     link = F.coalesce(
-        F.nullif(F.regexp_extract(b, r"(?s)<link[^>]*>(?:<!\[CDATA\[)?(https?://.*?)(?:\]\]>)?</link>", 1), F.lit("")),
-        F.nullif(F.regexp_extract(b, r'<link[^>]*href="(https?://[^"]+)"', 1), F.lit("")),
+        F.nullif(F.regexp_extract(b, LINK_TEXT, 1), F.lit("")),
+        F.nullif(F.regexp_extract(b, LINK_HREF, 1), F.lit("")),
     )
     at = parse_date(unescape(F.coalesce(_inside(b, "pubDate"), _inside(b, "published"), _inside(b, "updated"))))
     named = items.select(F.trim(unescape(_inside(b, "title"))).alias("title"), F.trim(unescape(link)).alias("url"), at["at"].alias("published"), at["precision"].alias("published_precision"), host_of(url).alias("outlet_domain"), F.lit("native").alias("collector"), F.col(url).alias("expression"))
@@ -52,8 +59,7 @@ def native_feed(feeds: DataFrame, xml: str = "xml", url: str = "feed_url") -> Da
 
 def resolver_reply(replies: DataFrame, text: str = "reply") -> DataFrame:
     """(batch, index, url) of a batch reply, whose envelopes come in any order and carry their 1-based index."""
-    envelope = r'\["wrb\.fr","[^"]*","((?:[^"\\]|\\.)*)",null,null,null,"(\d+)"\]'
-    both = F.arrays_zip(F.regexp_extract_all(text, F.lit(envelope), F.lit(1)).alias("said"), F.regexp_extract_all(text, F.lit(envelope), F.lit(2)).alias("i"))
+    both = F.arrays_zip(F.regexp_extract_all(text, F.lit(ENVELOPE), F.lit(1)).alias("said"), F.regexp_extract_all(text, F.lit(ENVELOPE), F.lit(2)).alias("i"))
     rows = replies.select("batch", F.explode(both).alias("e"))
     inner = F.get_json_object(F.concat(F.lit('{"x":"'), F.col("e.said"), F.lit('"}')), "$.x")
     url = F.get_json_object(inner, "$[1]")

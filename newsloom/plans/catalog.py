@@ -331,6 +331,13 @@ def band_join_72h(spark, d):
     return stories.band_join(m.where("id % 10 = 0"), m.where("id % 10 = 1"))
 
 
+@query("""SELECT b.id AS new_id, a.id AS stored_id FROM mention a JOIN mention b ON a.id < b.id AND abs(epoch(a.published) - epoch(b.published)) <= 72 * 3600""")
+def band_join_72h_all(spark, d):
+    """The band join over the whole table: every row against all of smaller ids."""
+    m = A.mentions(spark, d)
+    return stories.band_join(m, m).where("stored_id < new_id")
+
+
 CLOSURE = f"""{PAIRS},
 link AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
 reach(id, r) AS (SELECT id, id FROM wall UNION SELECT link.b, reach.r FROM reach JOIN link ON link.a = reach.id),

@@ -325,6 +325,18 @@ def similar_pairs_jaccard(spark, d):
     return a.join(b, F.col("b") == F.col("a") + 1).select("a", "b", F.round(text.jaccard(F.col("wa"), F.col("wb")), 6).alias("similarity"))
 
 
+@query(f"""& {TOKENS}, s AS (SELECT t.id, m.published, list_distinct(t.w) AS w FROM tok t JOIN mention m ON m.id = t.id), u AS (SELECT id, published, unnest(w) AS word FROM s),
+c AS (SELECT a.id AS a, b.id AS b, count(*) AS n FROM u a JOIN u b ON a.word = b.word AND a.id < b.id AND abs(epoch(a.published) - epoch(b.published)) <= 72 * 3600 GROUP BY 1, 2)
+SELECT a, b, round(n / (len(x.w) + len(y.w) - n)::DOUBLE, 6) AS similarity FROM c JOIN s x ON x.id = a JOIN s y ON y.id = b WHERE n >= 3""")
+def similar_pairs_jaccard_all(spark, d):
+    """All pairs within 72 hours that share three words; without a threshold the word join leaves out two words of a title only."""
+    m = A.mentions(spark, d)
+    w = m.select("id", F.array_distinct(text.title_tokens("title")).alias("w"))
+    pairs = stories.similar_pairs(m, threshold=0.0).select("a", "b")
+    both = pairs.join(w.select(F.col("id").alias("a"), F.col("w").alias("wa")), "a").join(w.select(F.col("id").alias("b"), F.col("w").alias("wb")), "b")
+    return both.select("a", "b", F.round(text.jaccard(F.col("wa"), F.col("wb")), 6).alias("similarity"))
+
+
 @query("""SELECT a.id AS new_id, b.id AS stored_id FROM mention a JOIN mention b ON a.id % 10 = 0 AND b.id % 10 = 1 AND abs(epoch(a.published) - epoch(b.published)) <= 72 * 3600""")
 def band_join_72h(spark, d):
     m = A.mentions(spark, d)

@@ -24,3 +24,9 @@ def rows(spark, name, d):
 def test_band_join_reaches_all_ids(spark, table):
     d = table([(i, f"text {i}", "a") for i in (5, 25, 77, 78, 150)])
     assert rows(spark, "band_join_72h_all", d) == [(25, 5), (77, 5), (77, 25), (78, 25), (78, 77), (150, 78)]
+
+
+def test_jaccard_pairs_of_any_ids(spark, table):
+    t = "harbour council approves seaside festival budget"
+    d = table([(4, t, "a"), (7, t, "b"), (8, "harbour council approves nothing", "c"), (90, t, "d")])
+    assert rows(spark, "similar_pairs_jaccard_all", d) == [(4, 7, 1.0), (4, 8, 0.428571), (7, 8, 0.428571)]

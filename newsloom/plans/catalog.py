@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import dates, hashing, html, scoring, text
 from newsloom.operators import dedupe, lifecycle, stories
+from newsloom.operators.tables import Scratch
 from newsloom.plans import adapters as A
 from newsloom.plans import report
 
@@ -146,7 +147,7 @@ def distinct_stories(spark, d):
 
 @query()
 def payload(spark, d):
-    items = _replicated(spark, d).withColumn("topics", scoring.topics("title", "summary", A.TOPICS))
+    items = _story_sizes(spark, d).withColumn("topics", scoring.topics("title", "summary", A.TOPICS))
     return report.payload(items, A.outlets(spark, d), F.to_date(F.lit(AS_OF)))
 
 
@@ -361,6 +362,21 @@ def story_clusters(spark, d):
     return stories.stories(A.wall(spark, d))
 
 
+def _story_sizes(spark, d):
+    """Scored mentions of the wall with the number of mentions of their stories."""
+    member = stories.stories(A.wall(spark, d))
+    sizes = member.groupBy("story_id").agg(F.count("*").alias("replicas"))
+    # written, since reports read it many times
+    sized = Scratch(spark, "story_sizes").write(member.join(sizes, "story_id").drop("story_id"), "sizes")
+    return A.scored_wall(spark, d).join(sized, "id")
+
+
+@query(f"""& {CLOSURE}, size AS (SELECT story_id, count(*) AS replicas FROM story GROUP BY 1), r AS (SELECT w.id, w.published, size.replicas FROM wall w JOIN story ON story.id = w.id JOIN size USING (story_id))
+SELECT row_number() OVER (ORDER BY replicas DESC, published, id)::INTEGER AS place, id FROM r ORDER BY place LIMIT 4""")
+def top_highlights_by_story(spark, d):
+    return report.highlights(_story_sizes(spark, d))
+
+
 @query(f"& {CLOSURE} SELECT story_id, count(*) AS n_mentions, min(published) AS first_pub, max(published) AS last_pub, arg_min(title, id) AS canonical_title FROM story JOIN wall USING (id) GROUP BY story_id")
 def cluster_rollup(spark, d):
     w = A.wall(spark, d)

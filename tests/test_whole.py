@@ -30,3 +30,28 @@ def test_jaccard_pairs_of_any_ids(spark, table):
     t = "harbour council approves seaside festival budget"
     d = table([(4, t, "a"), (7, t, "b"), (8, "harbour council approves nothing", "c"), (90, t, "d")])
     assert rows(spark, "similar_pairs_jaccard_all", d) == [(4, 7, 1.0), (4, 8, 0.428571), (7, 8, 0.428571)]
+
+
+#: One story of three under different openings, and titles of different stories under one opening.
+OPENINGS = [
+    (1, "local press agency reports quarrel over bridges", "a"),
+    (2, "local press agency reports dolphins near lighthouse", "a"),
+    (3, "local press agency reports vineyards flooded yesterday", "a"),
+    (4, "local press agency reports orchestra visiting Lisbon", "a"),
+    (5, "seaside festival budget approved despite protests tonight", "a"),
+    (6, "Council: seaside festival budget approved despite protests", "b"),
+    (7, "Finally, seaside festival budget approved despite protests", "c"),
+]
+
+
+def test_highlights_go_by_story_size(spark, table):
+    import json
+
+    d = table(OPENINGS)
+    member = dict(rows(spark, "story_clusters", d))
+    assert member[5] == member[6] == member[7] == 5 and member[1] == 1
+    top = [i for _, i in rows(spark, "top_highlights_by_story", d)]
+    assert top[:3] == [5, 6, 7]
+    whole = json.loads(entry.queries()["payload"](spark, d).first()["payload"])
+    replicas = {m["id"]: m["r"] for m in whole["items"]}
+    assert replicas[5] == replicas[7] == 3 and replicas[1] == 1

@@ -377,6 +377,11 @@ def top_highlights_by_story(spark, d):
     return report.highlights(_story_sizes(spark, d))
 
 
+@query(f"& {CLOSURE} SELECT count(DISTINCT story_id) AS stories FROM story")
+def distinct_story_clusters(spark, d):
+    return stories.stories(A.wall(spark, d)).agg(F.count_distinct("story_id").alias("stories"))
+
+
 @query(f"& {CLOSURE} SELECT story_id, count(*) AS n_mentions, min(published) AS first_pub, max(published) AS last_pub, arg_min(title, id) AS canonical_title FROM story JOIN wall USING (id) GROUP BY story_id")
 def cluster_rollup(spark, d):
     w = A.wall(spark, d)

@@ -55,3 +55,8 @@ def test_highlights_go_by_story_size(spark, table):
     whole = json.loads(entry.queries()["payload"](spark, d).first()["payload"])
     replicas = {m["id"]: m["r"] for m in whole["items"]}
     assert replicas[5] == replicas[7] == 3 and replicas[1] == 1
+
+
+def test_stories_are_counted_by_cluster(spark, table):
+    d = table(OPENINGS)
+    assert rows(spark, "distinct_story_clusters", d) == [(len(set(dict(rows(spark, "story_clusters", d)).values())),)] == [(5,)]

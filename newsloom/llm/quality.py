@@ -63,13 +63,13 @@ def cut_value(keys: DataFrame, key: str, keep: int) -> tuple[float, int]:
     return low, left
 
 
-def importance(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: float = 0.7, buckets: int = 20_000, typical: float = 64.0, seed: int = 5) -> DataFrame:
+def importance(docs: DataFrame, target: DataFrame | list[DataFrame], id_col: str = "doc_id", text_col: str = "text", keep: float = 0.7, buckets: int = 20_000, typical: float = 64.0, seed: int = 5) -> DataFrame:
     """Per row: id, log_weight, gumbel_key and kept: a sample of the share ``keep`` of rows.
 
     log_weight: of a row's hashed words and word pairs, the mean of log
     p(target) - log p(raw), times ``typical``; a sum would make a row's length
-    decide. Both models are counts over all rows of target and docs, smoothed
-    by one half. Added Gumbel noise (from a hash of id and seed) and the
+    decide. Both models are counts over all rows of target (or of all of a list
+    of targets, counted one after another) and docs, smoothed by one half. Added Gumbel noise (from a hash of id and seed) and the
     greatest keys make it a sample without replacement in proportion to the
     weights. Exactly round(keep * rows) are kept, ties by id.
 
@@ -79,7 +79,8 @@ def importance(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality")
-    raw, wanted = bucket_counts(docs, text_col, buckets) + 0.5, bucket_counts(target, text_col, buckets)
+    targets = target if isinstance(target, list) else [target]
+    raw, wanted = bucket_counts(docs, text_col, buckets) + 0.5, sum(bucket_counts(t, text_col, buckets) for t in targets)
     wanted = wanted + 0.5 if wanted.sum() else raw
     ratio = np.log(wanted / wanted.sum()) - np.log(raw / raw.sum())
     rows = docs.select(docs[id_col].alias("_id"), docs[text_col].cast("string").alias("_text"))

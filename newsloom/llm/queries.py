@@ -48,17 +48,14 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
-#: Labelled rows that operator 6's target model is fitted on, at most: those of smallest id hash.
-TARGET_ROWS = 20_000
-
-
 def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from newsloom.llm.quality import importance
+    from newsloom.llm.scratch import id_blocks
 
     docs = _table(spark, sf_dir, "documents")
-    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TARGET_ROWS)
-    # TARGET_ROWS ids, so that the texts need not be shuffled
-    return importance(docs, docs.join(F.broadcast(good), "doc_id", "left_semi"))
+    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
+    # all ids, a bounded block of them at a time, so that the texts need not be shuffled
+    return importance(docs, [docs.join(F.broadcast(ids), "doc_id", "left_semi") for ids in id_blocks(good, "doc_id")])
 
 
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

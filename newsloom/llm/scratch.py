@@ -7,7 +7,16 @@ from pyspark.sql import functions as F
 
 from newsloom.operators.tables import Scratch, connected_components, delete_path, release_shuffles, scratch_root
 
-__all__ = ["Scratch", "connected_components", "delete_path", "rank_within", "release_shuffles", "scratch_root"]
+__all__ = ["Scratch", "connected_components", "delete_path", "id_blocks", "rank_within", "release_shuffles", "scratch_root"]
+
+#: Ids in one broadcast.
+BLOCK = 500_000
+
+
+def id_blocks(ids: DataFrame, id_col: str) -> list[DataFrame]:
+    """The rows by a hash of their id, in as many parts as hold about BLOCK rows each: each row is in one of them."""
+    n = max(1, -(-ids.count() // BLOCK))
+    return [ids if n == 1 else ids.where(F.pmod(F.xxhash64(id_col), F.lit(n)) == k) for k in range(n)]
 
 
 def rank_within(df: DataFrame, keys: list[str], order: list, salt_of: str, buckets: int, to: str) -> DataFrame:

@@ -20,6 +20,16 @@ def shingle_set(hashes, width: int):
     return np.unique(ngrams(hashes, min(width, len(hashes)), salt=min(width, len(hashes))))
 
 
+def sequence_key(hashes) -> tuple:
+    """Two 64-bit sums over a word sequence, each mixed in its own way with the words' places."""
+    import numpy as np
+
+    from newsloom.llm import kernels as K
+
+    place = K.mix(np.arange(len(hashes), dtype=K.U))
+    return (hashes * (place | K.U(1))).sum(), K.mix(hashes ^ place).sum()
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """Per row: n_shingles, the word sequence's 128-bit key, packed low bits and band keys."""
     rows = docs.select(docs[id_col].cast("long").alias("_id"), docs[text_col].cast("string").alias("_text"))
@@ -43,8 +53,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
                     own = hashes[at[i] : at[i + 1]]
                     if not len(own):
                         continue
-                    place = K.mix(np.arange(len(own), dtype=K.U))
-                    keys[i] = (own * (place | K.U(1))).sum(), (K.mix(own ^ place)).sum()
+                    keys[i] = sequence_key(own)
                     shingles = shingle_set(own, width)
                     count[i] = len(shingles)
                     low = np.full(HASHES, ~K.U(0), K.U)
@@ -92,7 +101,7 @@ def estimate(a: str, b: str):
 def confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     """Of pairs (a, b), those with share[1] * intersection >= share[0] * union."""
     num, den = share
-    both = pairs.join(sets.select(F.col("_id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("_id").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb")
+    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb")
 
     def run(batches):
         import numpy as np
@@ -109,17 +118,31 @@ def confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFr
     return both.mapInArrow(run, "a long, b long")
 
 
-def cells(rows: DataFrame, key: str, most: int, lone: str | None = None) -> DataFrame:
-    """Rows dealt to cells (key, i, j) so that any two rows of a key meet in one and no cell is large.
+def cells(scratch: Scratch, rows: DataFrame, key: str, most: int, size: str, most_bytes: int, lone: str | None = None) -> tuple[DataFrame, int]:
+    """Rows dealt to cells (key, i, j) so that any two rows of a key meet in one and no cell is large; and a number of calls.
 
-    A key's rows fall by hash into blocks of about ``most``; a cell holds two
-    blocks. With ``lone``, only pairs with such a row are asked for: blocks of
-    lone rows (i) meet one another and blocks of the others (j), which are
-    numbered after them. Adds _left: whether a row is of block i.
+    A key's rows fall by hash into blocks of about ``most`` rows and
+    ``most_bytes`` bytes (of column ``size``), whichever gives more blocks; a
+    cell holds two blocks, a single larger row by itself still being whole.
+    With ``lone``, only pairs with such a row are asked for: blocks of lone
+    rows (i) meet one another and blocks of the others (j), which are numbered
+    after them. Adds _left: whether a row is of block i. The calls are so many
+    that about 16 blocks' worth of rows and bytes fall to each.
     """
     flag = F.col(lone) if lone else F.lit(True)
-    sizes = rows.groupBy(F.col(key).alias("_key")).agg(F.ceil(F.count_if(flag) / most).alias("_bi"), F.ceil(F.count_if(~flag) / most).alias("_bj"))
-    own = rows.join(sizes, F.col(key) == F.col("_key"))
+    weigh = lambda own: F.greatest(F.ceil(F.count_if(own) / most), F.ceil(F.coalesce(F.sum(F.when(own, F.col(size))), F.lit(0)) / most_bytes))
+    sizes = scratch.write(
+        rows.groupBy(F.col(key).alias("_key")).agg(
+            weigh(flag).cast("long").alias("_bi"), weigh(~flag).cast("long").alias("_bj"), F.count_if(flag).alias("_ni"), F.count_if(~flag).alias("_nj"),
+            F.sum(F.when(flag, F.col(size)).otherwise(0)).alias("_si"), F.sum(F.when(flag, 0).otherwise(F.col(size))).alias("_sj"),
+        ),
+        "sizes",
+    )
+    # a lone row is in as many cells as there are blocks, another in as many as there are lone blocks
+    dealt_out = lambda i, j: F.sum(F.col(i).cast("double") * (F.col("_bi") + F.col("_bj")) + F.col(j).cast("double") * F.col("_bi"))
+    total = sizes.agg(dealt_out("_ni", "_nj").alias("rows"), dealt_out("_si", "_sj").alias("bytes")).first()
+    calls = max(int(scratch.spark.conf.get("spark.sql.shuffle.partitions")), int((total["rows"] or 0) / (16 * most)) + 1, int((total["bytes"] or 0) / (16 * most_bytes)) + 1)
+    own = rows.join(sizes.select("_key", "_bi", "_bj"), F.col(key) == F.col("_key"))
     place = F.when(flag, F.pmod(F.xxhash64("rep"), "_bi")).otherwise(F.col("_bi") + F.pmod(F.xxhash64("rep"), "_bj"))
     own = own.withColumn("_b", place)
     last = F.col("_bi") + F.col("_bj") - 1
@@ -128,14 +151,11 @@ def cells(rows: DataFrame, key: str, most: int, lone: str | None = None) -> Data
     nothing = F.array().cast("array<struct<i:bigint,j:bigint,left:boolean>>")
     places = F.concat(F.when(flag, as_left).otherwise(nothing), F.when(F.least("_b", "_bi") > 0, as_right).otherwise(nothing))
     dealt = own.withColumn("_c", F.explode(places)).select(*rows.columns, F.col("_c.i").alias("_i"), F.col("_c.j").alias("_j"), F.col("_c.left").alias("_left"))
-    return dealt.withColumn("_cell", F.xxhash64(key, "_i", "_j"))
+    return dealt.withColumn("_cell", F.xxhash64(key, "_i", "_j")), calls
 
 
-def per_cell(dealt: DataFrame, work) -> DataFrame:
-    """Edges (a, b) that work(table of one cell) yields; many small cells share a call."""
-    spark = dealt.sparkSession
-    rows = dealt.count()
-    calls = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // 4000))
+def per_cell(dealt: DataFrame, calls: int, work) -> DataFrame:
+    """Edges (a, b) that work(table of one cell) yields; many small cells share one of ``calls`` calls."""
 
     def run(table):
         import numpy as np
@@ -165,8 +185,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     1. One pass gives each row its 128 minima, of which the low 4 bits are
        packed into 8 longs, and 32 band keys. Rows of one word sequence form
-       a class; only its smallest id goes on.
-    2. Members of a band bucket are compared with its smallest member. A pair
+       a class, known by a number of its own; only that goes on.
+    2. Members of a band bucket are compared with that of the smallest id. A pair
        is a candidate if the estimate from the packed bits, corrected for
        chance agreement, is within ``margin`` (over five standard deviations)
        of the threshold. Candidates are confirmed on the full sets. So most of
@@ -174,8 +194,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     3. What is still in different components of one bucket is compared by the
        packed bits, and rows that candidates tie together form a cluster. In
        each cluster, rows outside its largest-known component meet all others
-       by their full sets. Both comparisons run in cells of bounded size and
-       return one edge for each merger, not each pair.
+       by their full sets. Both comparisons run in cells of bounded rows and
+       bytes and return one edge for each merger, not each pair.
 
     A pair at similarity s shares no band with probability (1 - s^4)^32: 5e-11
     at 0.85, 5e-8 at 0.8. Null or empty texts have no shingles and no links.
@@ -188,14 +208,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     num, den = share
     signed = scratch.write(signatures(docs, id_col, text_col, width), "signatures")
     keyed = signed.where("n_shingles > 0 AND _id IS NOT NULL")
-    classes = scratch.write(keyed.groupBy("k1", "k2").agg(F.min("_id").alias("rep")), "classes")
     planes = [f"p{i}" for i in range(PLANES)]
-    reps = keyed.join(classes, (keyed._id == classes.rep) & (keyed.k1 == classes.k1) & (keyed.k2 == classes.k2)).select(F.col("rep"), "n_shingles", *planes, "bands").dropDuplicates(["rep"])
-    reps = scratch.write(reps, "reps")
-
-    banded = reps.select("rep", F.explode("bands").alias("bucket"))
-    buckets = banded.groupBy("bucket").agg(F.min("rep").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = scratch.write(banded.join(buckets, "bucket").select("bucket", "center", "rep"), "members", release=True)
+    least_id = keyed.groupBy("k1", "k2").agg(F.min("_id").alias("low"))
+    reps = keyed.join(least_id, ["k1", "k2"]).where("_id = low").select("k1", "k2", "low", "n_shingles", *planes, "bands").dropDuplicates(["k1", "k2"])
+    # the number is fixed by being written
+    reps = scratch.write(reps.withColumn("rep", F.monotonically_increasing_id()), "classes")
+
+    banded = reps.select("rep", "low", F.explode("bands").alias("bucket"))
+    buckets = banded.groupBy("bucket").agg(F.min(F.struct("low", "rep"))["rep"].alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
+    members = scratch.write(banded.join(buckets, "bucket").select("bucket", "center", "rep"), "members")
     bits = reps.select("rep", "n_shingles", *planes)
     least = num / den - margin
 
@@ -203,10 +224,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = members.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct().alias("p")
     likely = stars.join(x, F.col("p.a") == F.col("x.rep")).join(y, (F.col("p.b") == F.col("y.rep")) & (den * F.least("x.n_shingles", "y.n_shingles") >= num * F.greatest("x.n_shingles", "y.n_shingles")) & (estimate("x", "y") >= least))
     first = scratch.write(likely.select("p.a", "p.b"), "pairs")
-    wanted = members.select(F.col("rep").alias("_id")).distinct()
-    texts = docs.select(docs[id_col].cast("long").alias("_id"), docs[text_col].cast("string").alias("_text")).join(wanted, "_id", "left_semi")
+    wanted = scratch.write(members.select("rep").distinct().join(reps.select("rep", "low", "k1", "k2"), "rep"), "wanted")
+    texts = docs.select(docs[id_col].cast("long").alias("_id"), docs[text_col].cast("string").alias("_text")).join(wanted.select(F.col("low").alias("_id")), "_id", "left_semi")
 
     def to_sets(batches):
+        import numpy as np
         import pyarrow as pa
 
         from newsloom.llm import kernels as K
@@ -214,17 +236,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             for part in K.slices(batch, "_text"):
                 hashes, at = K.words(part.column("_text"), fold=K.FOLD)
-                found = [shingle_set(hashes[at[i] : at[i + 1]], width).tobytes() for i in range(part.num_rows)]
-                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(found, pa.binary())], names=["_id", "shingles"])
-
-    sets = scratch.write(texts.mapInArrow(to_sets, "_id long, shingles binary").where("length(shingles) > 0").dropDuplicates(["_id"]), "sets", release=True)
-    links = scratch.write(confirm(first, sets, share), "links", release=True)
+                each = [hashes[at[i] : at[i + 1]] for i in range(part.num_rows)]
+                keys = np.array([sequence_key(own) for own in each], K.U).reshape(-1, 2)
+                found = [shingle_set(own, width).tobytes() for own in each]
+                yield pa.RecordBatch.from_arrays([*(pa.array(K.signed(np.ascontiguousarray(keys[:, i])), pa.int64()) for i in (0, 1)), pa.array(found, pa.binary())], names=["k1", "k2", "shingles"])
+
+    # by its word sequence, for an id may be repeated with another text
+    sets = texts.mapInArrow(to_sets, "k1 long, k2 long, shingles binary").where("length(shingles) > 0").join(wanted.select("k1", "k2", "rep"), ["k1", "k2"])
+    sets = scratch.write(sets.dropDuplicates(["k1", "k2"]).select("rep", "shingles"), "sets")
+    links = scratch.write(confirm(first, sets, share), "links")
+    scratch.drop(first, wanted)
     parts = scratch.write(connected_components(scratch, links), "components")
 
     # members of one bucket that are in different components yet
     placed = members.join(parts, members.rep == parts.node, "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
     open_ = placed.groupBy("bucket").agg(F.min("component").alias("_main"), F.max("component").alias("_other")).where("_main < _other").select("bucket")
-    open_ = scratch.write(placed.join(open_, "bucket").join(bits, "rep"), "open")
+    open_ = scratch.write(placed.join(open_, "bucket").join(bits, "rep").withColumn("_bytes", F.lit(8 * (PLANES + 4))), "open")
+    scratch.drop(members)
 
     def tie(table):
         """Edges that join components by candidates, by the packed bits."""
@@ -249,50 +277,52 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     yield rep[i], rep[j]
                     label[label == label[j]] = label[i]
 
-    ties = scratch.write(per_cell(cells(open_, "bucket", 2048), tie), "ties")
-    if not ties.limit(1).count():
-        more = links.limit(0)
-    else:
+    def link(table):
+        """Edges that join components by links on full sets."""
+        import numpy as np
+
+        left = table.column("_left").to_numpy(zero_copy_only=False)
+        rep = table.column("rep").to_numpy()
+        label = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
+        held = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("shingles")]
+        size = np.array([len(v) for v in held])
+        at = np.concatenate([[0], np.cumsum(size)])
+        _, word = np.unique(np.concatenate(held), return_inverse=True)
+        order = np.argsort(word, kind="stable")
+        row = np.repeat(np.arange(len(held)), size)[order]
+        start = np.concatenate([[0], np.cumsum(np.bincount(word))])
+        for i in np.flatnonzero(left):
+            if (label == label[i]).all():
+                return
+            mine = word[at[i] : at[i + 1]]
+            lengths = start[mine + 1] - start[mine]
+            spots = np.repeat(start[mine] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
+            same = np.bincount(row[spots], minlength=len(held))
+            near = (den * same >= num * (size + size[i] - same)) & (label != label[i])
+            for j in np.flatnonzero(near).tolist():
+                if label[j] != label[i]:
+                    yield rep[i], rep[j]
+                    label[label == label[j]] = label[i]
+
+    ties = scratch.write(per_cell(*cells(scratch, open_, "bucket", 2048, "_bytes", 1 << 20), tie), "ties")
+    if not ties.isEmpty():
         clusters = connected_components(scratch, links.unionByName(ties)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
         inside = clusters.join(parts, clusters.rep == parts.node, "left").select("rep", "cluster", F.coalesce("component", "rep").alias("component"))
+        inside = scratch.write(inside, "inside")
         sizes = inside.groupBy("cluster", "component").count()
         main = sizes.groupBy("cluster").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("n")).where("n > 1").drop("n")
         inside = inside.join(main, "cluster").withColumn("apart", F.col("component") != F.col("main")).drop("main")
-        inside = scratch.write(inside, "clusters")
-
-        def link(table):
-            """Edges that join components by links on full sets."""
-            import numpy as np
-
-            left = table.column("_left").to_numpy(zero_copy_only=False)
-            rep = table.column("rep").to_numpy()
-            label = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
-            held = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("shingles")]
-            size = np.array([len(v) for v in held])
-            at = np.concatenate([[0], np.cumsum(size)])
-            _, word = np.unique(np.concatenate(held), return_inverse=True)
-            order = np.argsort(word, kind="stable")
-            row = np.repeat(np.arange(len(held)), size)[order]
-            start = np.concatenate([[0], np.cumsum(np.bincount(word))])
-            for i in np.flatnonzero(left):
-                if (label == label[i]).all():
-                    return
-                mine = word[at[i] : at[i + 1]]
-                lengths = start[mine + 1] - start[mine]
-                spots = np.repeat(start[mine] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
-                same = np.bincount(row[spots], minlength=len(held))
-                near = (den * same >= num * (size + size[i] - same)) & (label != label[i])
-                for j in np.flatnonzero(near).tolist():
-                    if label[j] != label[i]:
-                        yield rep[i], rep[j]
-                        label[label == label[j]] = label[i]
-
-        dealt = cells(inside, "cluster", 512, "apart").join(sets, F.col("rep") == F.col("_id")).drop("_id")
-        more = scratch.write(per_cell(dealt, link), "links", release=True)
-    if more.limit(1).count():
-        parts = scratch.write(connected_components(scratch, links.unionByName(more)), "components")
-
-    named = classes.join(parts, classes.rep == parts.node, "left").select("k1", "k2", F.coalesce("component", "rep").alias("component_id"))
-    out = signed.join(named, ["k1", "k2"], "left").select(F.col("_id").alias(id_col), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"))
+        inside = scratch.write(inside.join(reps.select("rep", (F.col("n_shingles") * 8).alias("_bytes")), "rep"), "clusters")
+        dealt, calls = cells(scratch, inside, "cluster", 256, "_bytes", 2 << 20, "apart")
+        more = scratch.write(per_cell(dealt.join(sets, "rep"), calls, link), "links")
+        if not more.isEmpty():
+            parts = scratch.write(connected_components(scratch, links.unionByName(more)), "components")
+    scratch.drop(sets, open_, ties)
+
+    # a component is known by its smallest number; its id is the smallest of its rows'
+    named = reps.select("k1", "k2", "rep", "low").join(parts, reps.rep == parts.node, "left").select("k1", "k2", "low", "component")
+    tops = named.where("component IS NOT NULL").groupBy("component").agg(F.min("low").alias("_top"))
+    named = named.join(tops, "component", "left").select("k1", "k2", F.coalesce("_top", "low").alias("component_id"))
+    out = signed.select("_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left").select(F.col("_id").alias(id_col), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"))
     out = out.withColumn("component_id", F.when(F.col(id_col).isNotNull(), F.col("component_id")))
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))

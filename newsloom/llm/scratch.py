@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.operators.tables import Scratch, connected_components, delete_path, release_shuffles, scratch_root
+from newsloom.operators.tables import Scratch, connected_components, delete_path, scratch_root
 
-__all__ = ["Scratch", "connected_components", "delete_path", "id_blocks", "rank_within", "release_shuffles", "scratch_root"]
+__all__ = ["Scratch", "connected_components", "delete_path", "id_blocks", "rank_within", "scratch_root"]
 
 #: Ids in one broadcast.
 BLOCK = 500_000

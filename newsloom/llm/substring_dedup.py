@@ -136,7 +136,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     names=["_id", "n_words", "sha", "_text", "place", "h1", "h2", "lead"],
                 )
 
-    level = scratch.write(joined.mapInArrow(windows, "_id long, n_words long, sha string, _text binary, place array<int>, h1 array<long>, h2 array<int>, lead array<int>"), "windows", release=True)
+    level = scratch.write(joined.mapInArrow(windows, "_id long, n_words long, sha string, _text binary, place array<int>, h1 array<long>, h2 array<int>, lead array<int>"), "windows")
     flat = level.where("sha IS NULL").select("_id", F.explode(F.arrays_zip("h1", "h2", "lead")).alias("w")).select("_id", "w.h1", "w.h2", "w.lead")
     first = flat.groupBy("h1", "h2").agg(F.min("_id").alias("_first"), F.min_by("lead", "_id").alias("lead")).groupBy(F.col("_first").alias("_id")).agg(F.collect_list("lead").alias("first"))
     open_ = level.where("sha IS NULL").select("_id", "n_words", "_text", "place").join(first, "_id", "left")

@@ -284,6 +284,67 @@ def test_group_of_borderline_copies(spark):
     assert [got[i] for i in range(len(texts))] == [c for _, c in near_brute(texts, (85, 100))]
 
 
+def quoting(text, bands=32, rows=4, width=5):
+    """Of each band, a small text that quotes the shingles which decide the text's key in it."""
+    from newsloom.llm import kernels as K
+    from newsloom.llm.near_dedup import HASHES
+
+    words = text.split()
+    hashes, _ = K.words(pa.array([text]), fold=K.FOLD)
+    grams = K.ngrams(hashes, width, salt=width)[:, None]
+    x = grams * (K.mix(np.arange(1, HASHES + 1, dtype=K.U)) | K.U(1)) + K.mix(np.arange(1001, 1001 + HASHES, dtype=K.U))
+    place = (x ^ (x >> K.U(32))).argmin(axis=0)
+    return [" ".join(" ".join(words[p : p + width]) for p in place[b * rows : (b + 1) * rows]) for b in range(bands)]
+
+
+def test_pair_that_meets_only_through_small_quoting_texts(spark):
+    """In every bucket the two are compared with a text that quotes them; the link must be found all the same."""
+    from newsloom.llm.near_dedup import near_duplicates
+
+    r = random.Random(1)
+    words = [f"w{r.randrange(5000)}" for _ in range(1500)]
+    other = [*words[:-25], *(f"x{i}" for i in range(25))]
+    texts = [*quoting(" ".join(words)), " ".join(words), " ".join(other)]
+    ids = [*range(32), 1000, 1001]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id bigint, text string")
+    got = {x["doc_id"]: x["component_id"] for x in near_duplicates(docs, share=(85, 100)).collect()}
+    brute = [c for _, c in near_brute(texts, (85, 100))]
+    assert [got[i] for i in ids] == [ids[c] for c in brute]
+    assert got[1001] == 1000
+
+
+def test_near_copies_of_book_length(spark):
+    """Cells are bounded by bytes: long near copies of one group, in several blocks."""
+    from newsloom.llm.near_dedup import cells, near_duplicates
+    from newsloom.llm.scratch import Scratch
+
+    r = random.Random(6)
+    base = [f"w{r.randrange(90_000)}" for _ in range(200_000)]
+    texts = []
+    for i in range(6):
+        own = list(base)
+        for _ in range(3000 * (i % 3)):
+            own[r.randrange(len(own))] = f"y{i}"
+        texts.append(" ".join(own))
+    got = {x["doc_id"]: x["component_id"] for x in near_duplicates(docs_of(spark, texts), share=(85, 100)).collect()}
+    assert [got[i] for i in range(6)] == [c for _, c in near_brute(texts, (85, 100))]
+    rows = spark.range(8).select(F.lit(1).alias("k"), F.col("id").alias("rep"), F.lit(1 << 20).alias("bytes"))
+    dealt, calls = cells(Scratch(spark, "t"), rows, "k", 1000, "bytes", 2 << 20)
+    per = {r["_cell"]: r["n"] for r in dealt.groupBy("_cell").agg(F.count_distinct("rep").alias("n")).collect()}
+    assert len(per) == 10 and calls >= 4  # four blocks, met in pairs
+    met = {frozenset(p) for r in dealt.groupBy("_cell").agg(F.collect_set("rep").alias("s")).collect() for p in itertools.combinations(r["s"], 2)}
+    assert len(met) == 28
+
+
+def test_repeated_ids_with_other_texts(spark):
+    from newsloom.llm.near_dedup import near_duplicates
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(5, a), (5, b), (2, a + " end"), (3, b + " end"), (9, c), (9, c)]
+    got = collections.Counter((x["doc_id"], x["component_id"]) for x in near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == {(5, 2): 1, (5, 3): 1, (2, 2): 1, (3, 3): 1, (9, 9): 2}
+
+
 def test_near_duplicates_edges(spark):
     from newsloom.llm.near_dedup import near_duplicates
 

@@ -8,22 +8,28 @@ costs a re-read and never a recomputation of the whole job.
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _roots: dict[str, SparkSession] = {}
+#: Drops an execution's shuffle files when it has ended; nothing reads them again once its table is written.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """This application's own folder below ``spark.checkpoint.dir``."""
+    """This application's own folder below ``spark.checkpoint.dir``.
+
+    Where that is unset, a session on one machine gets a folder of its own; on
+    a cluster, where executors would not share one, it is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="newsloom-")  # single-machine sessions only
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="newsloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     root = f"{base.rstrip('/')}/newsloom-{spark.sparkContext.applicationId}"
     _roots[root] = spark
@@ -45,17 +51,6 @@ def _clean() -> None:
             pass
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let the context cleaner drop shuffle files of plans nothing refers to.
-
-    The plan that has just run is let go of by the listeners a moment later.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
-
-
 class Scratch:
     """Written intermediate tables of one operator call."""
 
@@ -64,32 +59,38 @@ class Scratch:
         self.folder = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0
 
-    def write(self, df: DataFrame, label: str = "t", release: bool = False) -> DataFrame:
-        """Write df and return it read back, its lineage cut; release: drop the shuffle files it took."""
+    def write(self, df: DataFrame, label: str = "t") -> DataFrame:
+        """Write df and return it read back: its lineage is cut and its shuffle files are dropped."""
         self.n += 1
         path = f"{self.folder}/{self.n:03d}-{label}"
-        df.write.parquet(path)
+        held = self.spark.conf.get(_CLEANUP)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, held)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
-        if release:
-            release_shuffles(self.spark)
         return out
 
-    def drop(self, df: DataFrame) -> None:
-        delete_path(self.spark, df._scratch_path)
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete written tables that no later step reads."""
+        for df in tables:
+            delete_path(self.spark, df._scratch_path)
 
 
 def connected_components(scratch: Scratch, links: DataFrame) -> DataFrame:
-    """(node, component) of the undirected links (a, b); component: smallest node.
+    """(node, component) of every node of the undirected links (a, b); component: smallest node.
 
-    Alternating large-star and small-star steps. The smallest neighbour is
-    found by a partially aggregated group-by and joined back, so that a node
-    with very many links is never gathered into one task. Nodes come from
-    links only. Raises if it has not converged after 60 rounds.
+    Alternating large-star and small-star steps until nothing changes, which
+    takes a number of rounds that grows with the logarithm of the longest
+    chain. The smallest neighbour is found by a partially aggregated group-by
+    and joined back, so that a node with very many links is never gathered
+    into one task. Nodes come from links only; a link (a, a) makes none.
     """
     edges = scratch.write(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     before = None
-    for _ in range(60):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         # large star: larger neighbours of u are tied to the least of u's neighbourhood
@@ -106,6 +107,6 @@ def connected_components(scratch: Scratch, links: DataFrame) -> DataFrame:
         if (now["n"], now["s"]) == before:
             break
         before = (now["n"], now["s"])
-    else:
-        raise RuntimeError("connected components did not converge in 60 rounds")
-    return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+    # every u hangs on its component's smallest node now; that node is no u itself
+    found = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+    return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())

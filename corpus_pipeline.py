@@ -66,5 +66,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = scratch.write(docs, name, release=True)
+            docs = scratch.write(docs, name)
     return docs

@@ -215,7 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = scratch.write(reps.withColumn("rep", F.monotonically_increasing_id()), "classes")
 
     banded = reps.select("rep", "low", F.explode("bands").alias("bucket"))
-    buckets = banded.groupBy("bucket").agg(F.min(F.struct("low", "rep"))["rep"].alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
+    buckets = banded.groupBy("bucket").agg(F.min_by("rep", "low").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = scratch.write(banded.join(buckets, "bucket").select("bucket", "center", "rep"), "members")
     bits = reps.select("rep", "n_shingles", *planes)
     least = num / den - margin

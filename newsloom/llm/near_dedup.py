@@ -224,7 +224,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = members.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct().alias("p")
     likely = stars.join(x, F.col("p.a") == F.col("x.rep")).join(y, (F.col("p.b") == F.col("y.rep")) & (den * F.least("x.n_shingles", "y.n_shingles") >= num * F.greatest("x.n_shingles", "y.n_shingles")) & (estimate("x", "y") >= least))
     first = scratch.write(likely.select("p.a", "p.b"), "pairs")
-    wanted = scratch.write(members.select("rep").distinct().join(reps.select("rep", "low", "k1", "k2"), "rep"), "wanted")
+    wanted = members.select("rep").distinct().join(reps.select("rep", "low", "k1", "k2"), "rep")
     texts = docs.select(docs[id_col].cast("long").alias("_id"), docs[text_col].cast("string").alias("_text")).join(wanted.select(F.col("low").alias("_id")), "_id", "left_semi")
 
     def to_sets(batches):
@@ -245,7 +245,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = texts.mapInArrow(to_sets, "k1 long, k2 long, shingles binary").where("length(shingles) > 0").join(wanted.select("k1", "k2", "rep"), ["k1", "k2"])
     sets = scratch.write(sets.dropDuplicates(["k1", "k2"]).select("rep", "shingles"), "sets")
     links = scratch.write(confirm(first, sets, share), "links")
-    scratch.drop(first, wanted)
+    scratch.drop(first)
     parts = scratch.write(connected_components(scratch, links), "components")
 
     # members of one bucket that are in different components yet

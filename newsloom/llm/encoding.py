@@ -1,11 +1,12 @@
-"""Exact token ids of whole texts from public tokenizers, by cached chunks.
+"""Exact token ids of whole texts by the public tokenizers' libraries, by cached chunks.
 
-A byte-level BPE never merges over a boundary between a non-space and a space
-character, so a text is split there: a chunk is a space and what follows it, or
+A byte-level BPE with the usual pattern never joins a non-space character and
+the white space after it in one pre-token, so a text is split there: a chunk is
 a run of ASCII white space and the run of other characters after it. Chunks
-repeat like words do; each is encoded once and then looked up. Texts holding
-other white space, where such a split could fall inside one pre-token, are
-split only between an ASCII letter or digit and a space that another follows.
+repeat like words do: of a batch, each different one is encoded once by the
+library and then looked up by a 64-bit hash of its bytes. Texts holding other
+white space, where such a split could fall inside one pre-token, are split only
+between an ASCII letter or digit and a space that another follows.
 """
 
 from __future__ import annotations
@@ -13,67 +14,89 @@ from __future__ import annotations
 import base64
 import json
 import os
-import re
-from array import array
-from collections.abc import Iterable
 
-_SPACE = " \t\n\r\x0b\x0c"
-_CHUNK = re.compile(rf"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
-#: A space beside other white space: not every space starts a chunk then.
-_BESIDE = [*(f"{c} " for c in _SPACE), *(f" {c}" for c in _SPACE)]
-_CONTROL = ["\x1c", "\x1d", "\x1e", "\x1f"]
-_PLAIN_BREAK = re.compile(r"(?<=[A-Za-z0-9])(?= [A-Za-z0-9])")
+import numpy as np
+import pyarrow as pa
 
+from newsloom.llm import kernels as K
 
-def _byte_level_ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
-    """Ranks and special tokens of a byte-level BPE ``.json`` whose ids follow its merges."""
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_ALNUM = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
+#: Bytes that may begin white space outside ASCII.
+_LEAD = np.zeros(256, bool)
+_LEAD[[0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
+
+
+def splits_at_spaces(path: str) -> bool:
+    """Whether a tokenizers ``.json`` may be given chunks: no normaliser, byte-level with the library's own pattern, plain added tokens."""
     with open(path, encoding="utf-8") as f:
         held = json.load(f)
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    to_byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(x for x in range(256) if x not in shown)}
-    special = {t["content"]: t["id"] for t in held["added_tokens"]}
-    return {bytes(to_byte[c] for c in w): i for w, i in held["model"]["vocab"].items() if w not in special}, special
+    way = held.get("pre_tokenizer") or {}
+    usual = way.get("type") == "ByteLevel" and way.get("use_regex") is True and way.get("add_prefix_space") is False
+    plain = all(not (t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized")) and not any(c.isspace() for c in t["content"]) for t in held.get("added_tokens") or ())
+    return usual and plain and not held.get("normalizer") and not held.get("post_processor") and held["model"]["type"] == "BPE" and not held["model"].get("dropout")
+
+
+def _other_space(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Of each text, whether it holds white space outside ASCII, a separator control or a zero-width character."""
+    found = [np.flatnonzero((data >= 0x1C) & (data <= 0x1F))]
+    at = np.flatnonzero(_LEAD[data])
+    if len(at):
+        a, b, c = data[at], data[np.minimum(at + 1, len(data) - 1)], data[np.minimum(at + 2, len(data) - 1)]
+        odd = (a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & ((b == 0x9A) | (b == 0xA0)) | (a == 0xE3) & (b == 0x80) & (c == 0x80) | (a == 0xEF) & (b == 0xBB)
+        odd |= (a == 0xE2) & ((b == 0x80) & ((c <= 0x8F) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF)) | (b == 0x81) & ((c == 0x9F) | (c == 0xA0)))
+        found.append(at[odd])
+    out = np.zeros(len(offsets) - 1, bool)
+    out[np.searchsorted(offsets, np.concatenate(found), "right") - 1] = True
+    return out
+
+
+def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the chunks of all texts, and n + 1 places of the texts' first ones."""
+    n = len(data)
+    begins = np.zeros(n + 1, bool)
+    space = _SPACE[data]
+    begins[1:n] = space[1:] & ~space[:-1]
+    odd = _other_space(data, offsets)
+    if odd.any():
+        inside = np.repeat(odd, np.diff(offsets))
+        plain = np.zeros(n, bool)
+        plain[1:-1] = _ALNUM[data[:-2]] & (data[1:-1] == 0x20) & _ALNUM[data[2:]]
+        begins[:n] = np.where(inside, plain, begins[:n])
+    begins[offsets[:-1]] = True  # an empty text begins where the next one does
+    start = np.flatnonzero(begins[:n])
+    return start, np.append(start[1:], n), np.searchsorted(start, offsets)
 
 
 class Encoder:
-    """ids(texts): the library's ids of each text as little-endian uint32 bytes.
+    """The library's ids of texts, without begin, end or padding tokens and without truncation.
 
     name: a file of ``public_tokenizers``: a ``.json`` (library tokenizers), a
-    ``.tiktoken`` or a sentencepiece ``.model``. Chunks are only used for
-    byte-level BPE; other kinds encode whole texts. No begin, end or padding
-    tokens, no truncation; special strings inside texts as the library's
-    default has them. merges: of a byte-level ``.json``, let tiktoken's merge
-    loop run over that file's vocabulary, which gives the same ids sooner.
+    ``.tiktoken`` or a sentencepiece ``.model``. Special strings inside texts
+    are taken as the library's default has it. Chunks are used for such
+    ``.json`` files as ``splits_at_spaces`` accepts; other kinds encode whole
+    texts. The cache is dropped when it holds ``cached`` chunks or 16 million
+    ids; chunks of more than ``longest`` bytes are not kept in it.
     """
 
-    def __init__(self, name: str, cached: int = 600_000, longest: int = 48, path: str | None = None, merges: bool = False):
+    def __init__(self, name: str, cached: int = 600_000, longest: int = 48, path: str | None = None):
         if not path:
             import public_tokenizers
 
             path = public_tokenizers.path(name)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.cached, self.longest = cached, longest
-        self.after_space: dict[str, bytes] = {}  # the chunk's space is left out
-        self.cache: dict[str, bytes] = {}
-        self.by_chunk = True
-        self.raw = lambda texts: [array("I", ids).tobytes() for ids in self.encode(texts)]
+        self._clear()
+        self.by_chunk = False
         if name.endswith(".json"):
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(path)
             tokenizer.no_truncation()
             tokenizer.no_padding()
-            self.by_chunk = tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in str(tokenizer)
+            self.by_chunk = splits_at_spaces(path)
             self.encode = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            if merges and self.by_chunk:
-                import public_tokenizers
-                import tiktoken
-
-                ranks, special = _byte_level_ranks(path)
-                quick = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-                self.by_chunk = False
-                self.raw = lambda texts: [quick.encode_to_numpy(t, allowed_special="all").astype("<u4").tobytes() for t in texts]
         elif name.endswith(".tiktoken"):
             import public_tokenizers
             import tiktoken
@@ -81,78 +104,82 @@ class Encoder:
             with open(path, "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             tokenizer = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-            self.by_chunk = False  # its pattern may be another one
             self.encode = lambda texts: [tokenizer.encode_ordinary(t) for t in texts]
         else:
             import sentencepiece
 
             tokenizer = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.by_chunk = False
             self.encode = lambda texts: tokenizer.encode(texts, num_threads=1)
 
-    def _learn(self, chunks: Iterable[str], cache: dict, extra: dict, space: str = "") -> None:
-        """Encode chunks, in batches balanced by bytes; long ones are kept in extra alone."""
-        batch, size = [], 0
+    def _clear(self) -> None:
+        self.index: dict[int, int] = {}
+        self.held = np.zeros(1 << 16, np.uint32)  # ids of all entries, one after another
+        self.at = np.zeros(1, np.int64)  # n + 1 places
 
-        def flush() -> None:
-            for c, ids in zip(batch, self.encode([space + c for c in batch] if space else batch), strict=True):
-                (cache if len(c) <= self.longest else extra)[c] = array("I", ids).tobytes()
-            batch.clear()
-
-        for c in chunks:
-            batch.append(c)
-            size += len(c)
-            if size >= 1_000_000:
-                flush()
-                size = 0
-        if batch:
-            flush()
-
-    def _looked_up(self, split: list[list[str]], cache: dict, space: str = "") -> list[bytes]:
-        extra: dict[str, bytes] = {}
-        self._learn(set().union(*split).difference(cache), cache, extra, space)
-        get = (lambda c: cache[c] if c in cache else extra[c]) if extra else cache.__getitem__
-        return [b"".join(map(get, s)) for s in split]
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        if not self.by_chunk:
-            return self.raw(texts) if texts else []
-        if len(self.cache) + len(self.after_space) > self.cached:
-            self.cache.clear()
-            self.after_space.clear()
-        even, first, other, where = [], [], [], []
+    def _learn(self, texts: list[str]) -> int:
+        """Encode texts, in batches balanced by bytes, and append their ids; the number of the first."""
+        first, found, batch, size = len(self.at) - 1, [], [], 0
         for t in texts:
-            if any(c in t for c in _CONTROL) or not t.isascii() and _OTHER_SPACE.search(t):
-                where.append(False)
-                other.append([x for x in _PLAIN_BREAK.split(t) if x])
-            elif t[:1] == " " or t[-1:] == " " or any(c in t for c in _BESIDE):
-                where.append(False)
-                other.append(_CHUNK.findall(t))
-            else:
-                where.append(True)
-                head, *rest = t.split(" ")
-                first.append([head] if head else [])
-                even.append(rest)
-        heads, rests, others = iter(self._looked_up(first, self.cache)), iter(self._looked_up(even, self.after_space, " ")), iter(self._looked_up(other, self.cache))
-        return [next(heads) + next(rests) if plain else next(others) for plain in where]
-
-    def counts(self, texts: list[str]) -> list[int]:
-        return [len(x) // 4 for x in self.ids(texts)]
+            batch.append(t)
+            size += len(t)
+            if size >= 1_000_000:
+                found += self.encode(batch)
+                batch, size = [], 0
+        found += self.encode(batch) if batch else []
+        ends = self.at[-1] + np.cumsum([len(x) for x in found], dtype=np.int64)
+        if len(ends) and ends[-1] > len(self.held):
+            self.held = np.resize(self.held, max(2 * len(self.held), int(ends[-1])))
+        for x, a, b in zip(found, [int(self.at[-1]), *ends[:-1].tolist()], ends.tolist(), strict=True):
+            self.held[a:b] = x
+        self.at = np.concatenate([self.at, ends])
+        return first
+
+    def _entries(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The entry of each chunk."""
+        if len(self.index) > self.cached or self.at[-1] > 1 << 24:
+            self._clear()
+        key, first, back = np.unique(K.span_hashes(data, start, end), return_index=True, return_inverse=True)
+        entry = np.array([self.index.get(h, -1) for h in key.tolist()], np.int64)
+        new = np.flatnonzero(entry < 0)
+        if len(new):
+            a, b = start[first[new]], end[first[new]]
+            whole = data.tobytes()
+            at = self._learn([whole[x:y].decode(errors="replace") for x, y in zip(a.tolist(), b.tolist(), strict=True)])
+            entry[new] = at + np.arange(len(new))
+            short = b - a <= self.longest
+            self.index.update(zip(key[new[short]].tolist(), entry[new[short]].tolist(), strict=True))
+        return entry[back]
+
+    def _encoded(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Entries of all chunks of a string column, null texts empty, and n + 1 places by text."""
+        if self.by_chunk:
+            data, offsets = K.strings(column)
+            start, end, by_text = chunks(data, offsets)
+            return (self._entries(data, start, end) if len(start) else np.zeros(0, np.int64)), by_text
+        self._clear()
+        texts = [t or "" for t in column.to_pylist()]
+        self._learn(texts)
+        return np.arange(len(texts)), np.arange(len(texts) + 1)
+
+    def lengths(self, column: pa.Array) -> np.ndarray:
+        """The number of ids of each text."""
+        entry, by_text = self._encoded(column)
+        total = np.concatenate([[0], np.cumsum(self.at[entry + 1] - self.at[entry])])
+        return total[by_text[1:]] - total[by_text[:-1]]
+
+    def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts as uint32, n + 1 places by text)."""
+        entry, by_text = self._encoded(column)
+        size = self.at[entry + 1] - self.at[entry]
+        total = np.concatenate([[0], np.cumsum(size)])
+        return self.held[np.repeat(self.at[entry] - total[:-1], size) + np.arange(total[-1])], total[by_text]
 
 
 _encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(name: str, path: str | None = None, merges: bool = False) -> Encoder:
+def encoder(name: str, path: str | None = None) -> Encoder:
     """One per worker process, its cache kept between batches."""
-    if (name, path, merges) not in _encoders:
-        _encoders[name, path, merges] = Encoder(name, path=path, merges=merges)
-    return _encoders[name, path, merges]
-
-
-def by_bytes(batch, column: str, most: int = 1_000_000):
-    """(slice, texts) of a batch, null texts empty, about ``most`` bytes each."""
-    from newsloom.llm.kernels import slices
-
-    for part in slices(batch, column, most):
-        yield part, [t or "" for t in part.column(column).to_pylist()]
+    if (name, path) not in _encoders:
+        _encoders[name, path] = Encoder(name, path=path)
+    return _encoders[name, path]

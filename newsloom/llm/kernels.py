@@ -75,11 +75,16 @@ def words(column: pa.Array, separators: np.ndarray = SPACE, fold: np.ndarray = S
     after[offsets[1:][offsets[1:] > 0] - 1] = False
     start = np.flatnonzero(word & ~before)
     end = np.flatnonzero(word & ~after) + 1
+    return span_hashes(data, start, end, fold), np.searchsorted(start, offsets)
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: np.ndarray = SAME) -> np.ndarray:
+    """A hash of each run of bytes from start to end."""
+    n = len(data)
     _grow(n + 1)
     total = np.zeros(n + 1, U)
     np.cumsum((fold[data].astype(U) + U(1)) * _powers[:n], out=total[1:])
-    hashes = mix((total[end] - total[start]) * _inverses[start] + (end - start).astype(U))
-    return hashes, np.searchsorted(start, offsets)
+    return mix((total[end] - total[start]) * _inverses[start] + (end - start).astype(U))
 
 
 def ngrams(hashes: np.ndarray, length: int, salt: int = 0) -> np.ndarray:

@@ -3,82 +3,68 @@
 from __future__ import annotations
 
 import heapq
-from fractions import Fraction
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.scratch import rank_within
 
 
-def frame(weights: dict, slots: int) -> dict:
-    """Whole numbers of slots by source that add up to ``slots``, nearest to the weights; 1 at least."""
-    total = sum(weights.values())
-    exact = {s: slots * w / total for s, w in weights.items()}
-    own = {s: max(1, int(x)) for s, x in exact.items()}
-    order = sorted(exact, key=lambda s: (own[s] - exact[s], str(s)))
-    k = 0
-    while sum(own.values()) < slots:
-        own[order[k % len(order)]] += 1
-        k += 1
-    while sum(own.values()) > slots:
-        own[max(own, key=lambda s: (own[s] - exact[s] if own[s] > 1 else float("-inf"), str(s)))] -= 1
-    return own
-
-
-def schedule(shares: dict) -> list:
-    """The source of each slot of a frame of sum(shares) slots.
-
-    Block j (from 1) of a source with weight w = share / slots is released at
-    slot floor((j - 1) / w) and due by ceil(j / w). Of the released ones the
-    earliest due runs first. Weights add up to 1, so every block meets its due
-    time and a source is never a whole block from its share.
+class Shares:
+    """How target shares advance: every source by its weight until its blocks run out, then the others in proportion.
+
+    After v units of a source's weight, sum(min(weight * v, blocks)) slots have
+    passed, which is piecewise linear in v.
     """
-    slots = sum(shares.values())
-    waiting, out = [], []
-    heap = [(0, -(-slots // n), str(s), s, 1) for s, n in shares.items()]
-    heapq.heapify(heap)
-    for t in range(slots):
-        while heap and heap[0][0] <= t:
-            release, due, key, s, j = heapq.heappop(heap)
-            heapq.heappush(waiting, (due, key, s, j))
-        due, key, s, j = heapq.heappop(waiting)
-        if due <= t:
-            raise AssertionError(f"block {j} of {s} is late")
-        out.append(s)
-        n = shares[s]
-        if j < n:
-            heapq.heappush(heap, (j * slots // n, -(-(j + 1) * slots // n), key, s, j + 1))
-    return out
-
-
-def phases(blocks: dict, weights: dict, slots: int) -> list[tuple[int, list, dict, int]]:
-    """(first slot, frame, blocks given so far, length) of each phase.
-
-    A phase ends when a source has no blocks left; its weight then falls to
-    the others in proportion. There are as many phases as sources at most.
+
+    def __init__(self, blocks, weights):
+        self.weights = np.asarray(weights, np.longdouble)
+        ends = np.asarray(blocks, np.longdouble) / self.weights
+        order = np.argsort(ends, kind="stable")
+        self.ends = ends[order]
+        self.live = np.cumsum(self.weights[order][::-1])[::-1]  # weight that advances up to each end
+        self.begins = np.concatenate([[0], self.ends[:-1]])
+        self.passed = np.concatenate([[0], np.cumsum(self.live * (self.ends - self.begins))[:-1]])
+
+    def reached(self, source: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """The (real) number of slots after which each source's share is count blocks."""
+        v = count / self.weights[source]
+        k = np.minimum(np.searchsorted(self.ends, v, "left"), len(self.ends) - 1)
+        return self.passed[k] + self.live[k] * (v - self.begins[k])
+
+
+def schedule(blocks, weights) -> np.ndarray:
+    """The source (its number) of each slot, all blocks of all sources being placed.
+
+    Block j (from 1) of a source is released at the slot in which the source's
+    share reaches j - 1 and due at the end of the one in which it reaches j:
+    with weight w of all that add up to 1, floor((j - 1) / w) and ceil(j / w).
+    Of the released blocks the one due earliest runs. The shares fill every
+    slot, so no block is late, and after any number of slots a source is less
+    than one block from its share by the weights as given.
     """
-    left = {s: n for s, n in blocks.items() if n > 0}
-    given = dict.fromkeys(left, 0)
-    first, out = 0, []
-    while left:
-        own = frame({s: weights[s] for s in left}, max(slots, 4 * len(left)))
-        order = schedule(own)
-        rounds = min(left[s] // own[s] for s in left)
-        length, now = rounds * len(order), {s: rounds * own[s] for s in left}
-        for s in order:  # the part of a frame until some source is used up
-            if any(now[x] >= left[x] for x in left):
-                break
-            now[s] += 1
-            length += 1
-        out.append((first, order, dict(given), length))
-        first += length
-        for s in list(left):
-            given[s] += now[s]
-            left[s] -= now[s]
-            if left[s] <= 0:
-                del left[s]
-    return out
+    blocks = np.asarray(blocks, np.int64)
+    total = int(blocks.sum())
+    source = np.repeat(np.arange(len(blocks)), blocks)
+    before = np.arange(total) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    if not total:
+        return source
+    shares = Shares(blocks, weights)
+    # extended precision leaves errors of 1e-12 slots
+    release = np.floor(shares.reached(source, before) + 1e-10).astype(np.int64)
+    deadline = np.ceil(shares.reached(source, before + 1) - 1e-10).astype(np.int64)
+    order = np.argsort(release, kind="stable")
+    due = (deadline * total + np.arange(total))[order].tolist()
+    release = release[order].tolist()
+    waiting: list[int] = []
+    out, k = np.empty(total, np.int64), 0
+    for t in range(total):
+        while k < total and (release[k] <= t or not waiting):
+            heapq.heappush(waiting, due[k])
+            k += 1
+        out[t] = heapq.heappop(waiting) % total
+    return source[out]
 
 
 def target_weights(counts: dict, power: float = 0.7) -> dict:
@@ -86,71 +72,54 @@ def target_weights(counts: dict, power: float = 0.7) -> dict:
     return {s: float(n) ** power for s, n in counts.items()}
 
 
-def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = 16, slots: int = 4096, power: float = 0.7, parts: int = 256) -> DataFrame:
+def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = 16, most_blocks: int = 1 << 18, power: float = 0.7, rows_per_part: int = 50_000, most_sources: int = 100_000) -> DataFrame:
     """All rows, with mix_position (from 0, gapless) in an order that keeps to the weights.
 
     A source's rows, in the order of an id hash, are cut into blocks of
-    ``block`` rows. Every prefix of the order holds of each source its share
-    of blocks to less than one block, as long as no source has run out; then
-    the weights of those left count. Weights are rounded to frames of
-    ``slots`` slots (or four times the sources, if more). Without weights:
-    sizes raised to ``power``. No row is dropped or repeated.
-
-    The driver sees the number of rows of each source. A source's frame tells
-    the slot of any of its blocks by division, so blocks are placed where they
-    are; rows of a hot source are ranked by many tasks. A null source is a
-    source of its own; sources without a given weight get the smallest one
-    given. Null ids and repeated rows keep their places. An empty table gives
-    an empty one. A column mix_position is replaced.
+    ``block`` rows, or of rows / ``most_blocks`` where that is more, so that
+    the driver schedules a bounded number of blocks whatever the input. Every
+    prefix of whole blocks holds of each source its share by the exact weights
+    to less than one block. A source that has run out leaves its weight to the
+    others. Without weights: sizes raised to ``power``. No row is dropped or
+    repeated.
+
+    The driver sees the number of rows of each source; more than
+    ``most_sources`` sources are an error (ValueError), since such a column
+    names no sources to mix. Rows of a hot source are ranked by many tasks. A
+    null source is a source of its own; sources without a positive given weight
+    get the smallest one given. Null ids and repeated rows keep their places.
+    An empty table gives an empty one. A column mix_position is replaced.
     """
     spark = docs.sparkSession
-    counts = {r[source_col]: r["count"] for r in docs.groupBy(source_col).count().collect()}
+    found = docs.groupBy(source_col).count().limit(most_sources + 1).collect()
+    if len(found) > most_sources:
+        raise ValueError(f"column {source_col} has more than {most_sources} values")
+    counts = {r[source_col]: r["count"] for r in found}
     if weights is None:
         weights = target_weights(counts, power)
-    least = min(weights.values(), default=1.0)
-    weights = {s: max(float(weights.get(s, least)), 1e-9) for s in counts}
+    good = [float(w) for w in weights.values() if w and w > 0]
+    least = min(good, default=1.0)
     names = sorted(counts, key=lambda s: (s is None, str(s)))
-    number = {s: i for i, s in enumerate(names)}
-    plan = phases({number[s]: -(-n // block) for s, n in counts.items()}, {number[s]: w for s, w in weights.items()}, slots)
-    # of each phase and source: blocks given before it, its slots in a frame
-    rows = []
-    for k, (first, order, given, length) in enumerate(plan):
-        own: dict = {}
-        for t, s in enumerate(order):
-            own.setdefault(s, []).append(t)
-        size = len(order)
-        after = plan[k + 1][2] if k + 1 < len(plan) else None
-        for s, places in own.items():
-            until = after.get(s, -(-counts[names[s]] // block)) if after is not None else -(-counts[names[s]] // block)
-            rows.append((s, given[s], until, first, size, places))
-    table = spark.createDataFrame(rows, "_source int, _from long, _until long, _first long, _size long, _places array<int>")
-    numbers = spark.createDataFrame([(s, number[s]) for s in names], f"`{source_col}` {docs.schema[source_col].dataType.simpleString()}, _source int")
-    # both tables are bounded by the number of sources and phases
-    named = docs.alias("d").join(F.broadcast(numbers).alias("n"), F.col(f"d.{source_col}").eqNullSafe(F.col(f"n.{source_col}"))).select("d.*", "_source")
-    ranked = rank_within(named, ["_source"], [F.xxhash64(id_col, F.lit(1)), id_col], id_col, parts, "_rank")
-    placed = ranked.withColumn("_block", F.floor(F.col("_rank") / block)).join(F.broadcast(table), "_source").where("_block >= _from AND _block < _until")
-    j = F.col("_block") - F.col("_from")
-    n = F.size("_places")
-    slot = F.col("_first") + F.floor(j / n) * F.col("_size") + F.element_at("_places", (j % n + 1).cast("int"))
-    # a source's last block may be short: the rows missing before a slot are those of short blocks in earlier slots
-    short = []
-    for s in names:
-        total, missing = -(-counts[s] // block), -counts[s] % block
-        if missing:
-            i, b = number[s], total - 1
-            _, start, _, first, size, places = next(r for r in rows if r[0] == i and r[1] <= b < r[2])
-            j_ = b - start
-            short.append((first + j_ // len(places) * size + places[j_ % len(places)], missing))
-    short.sort()
-    slots_of, missing_of = [s for s, _ in short], [0]
-    for _, x in short:
-        missing_of.append(missing_of[-1] + x)
-    placed = placed.withColumn("_slot", slot)
-    gaps = spark.createDataFrame([(slots_of, missing_of)], "_short array<long>, _missing array<long>")  # one row
-    placed = placed.crossJoin(F.broadcast(gaps))
-    before = F.element_at("_missing", F.size(F.filter("_short", lambda x: x < F.col("_slot"))) + 1)
-    position = F.col("_slot") * block + F.col("_rank") % block - before
-    out = placed.withColumn("mix_position", position.cast("long"))
+    own = [float(weights[s]) if weights.get(s) and weights[s] > 0 else least for s in names]
+    rows = np.array([counts[s] for s in names], np.int64)
+    block = max(block, -(-int(rows.sum()) // most_blocks))
+    blocks = -(-rows // block)
+    order = schedule(blocks, own)
+    # a block's number within its source, its rows and the rows before it
+    seen = np.empty(len(order), np.int64)
+    by_source = np.argsort(order, kind="stable")
+    seen[by_source] = np.arange(len(order)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    held = np.minimum(block, rows[order] - seen * block)
+    start = np.cumsum(held) - held
+    import pyarrow as pa
+
+    # at most ``most_blocks`` blocks and one more for each source
+    table = spark.createDataFrame(pa.table({"_source": pa.array(order, pa.int32()), "_block": pa.array(seen), "_start": pa.array(start)}))
+    numbers = spark.createDataFrame([(s, i, -(-counts[s] // rows_per_part)) for i, s in enumerate(names)], f"`{source_col}` {docs.schema[source_col].dataType.simpleString()}, _source int, _parts long")
+    named = docs.alias("d").join(F.broadcast(numbers).alias("n"), F.col(f"d.{source_col}").eqNullSafe(F.col(f"n.{source_col}"))).select("d.*", "_source", "_parts")
+    ranked = rank_within(named, ["_source"], [F.xxhash64(id_col, F.lit(1)), id_col], id_col, F.col("_parts"), "_rank")
+    placed = ranked.withColumn("_block", F.floor(F.col("_rank") / block)).join(F.broadcast(table), ["_source", "_block"])
+    out = placed.withColumn("mix_position", F.col("_start") + F.col("_rank") % block)
     return out.select(*[F.col(f"`{c}`") for c in docs.columns if c != "mix_position"], "mix_position")
 
 
@@ -177,15 +146,9 @@ def mixed_rows(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_
 
     run, ddl = on_text("squeeze", "binary")
     small = docs.mapInArrow(run, ddl(docs))
-    mixed = mix(small, weights, id_col, source_col, **more)
+    mixed = mix(small, weights, id_col, source_col, rows_per_part=rows_per_part, **more)
     total = docs.count()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_part))
     dealt = mixed.repartitionById(parts, F.floor(F.col("mix_position") * parts / max(1, total)).cast("int")).sortWithinPartitions("mix_position").drop("mix_position")
     run, ddl = on_text("unsqueeze_nulls", "string")
     return dealt.mapInArrow(run, ddl(dealt))
-
-
-def deviation(counts: dict, weights: dict, taken: int) -> dict:
-    """Blocks of each source above its share among ``taken``; for tests."""
-    total = sum(weights.values())
-    return {s: float(counts.get(s, 0) - Fraction(w / total) * taken) for s, w in weights.items()}

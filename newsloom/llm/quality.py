@@ -31,6 +31,13 @@ def bucket_counts(docs: DataFrame, text_col: str, buckets: int) -> np.ndarray:
     return out
 
 
+def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """Log ratio of the two models by bucket; 0 everywhere without target texts."""
+    if not target.sum():
+        return np.zeros(len(raw))
+    return np.log((target + 0.5) / (target + 0.5).sum()) - np.log((raw + 0.5) / (raw + 0.5).sum())
+
+
 def hashed(column, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words, then of all word pairs; of each its text's number."""
     from newsloom.llm import kernels as K
@@ -43,46 +50,66 @@ def hashed(column, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return (both % K.U(buckets)).astype(np.int64), np.concatenate([text, text[1:][same]])
 
 
-def cut_value(keys: DataFrame, key: str, keep: int) -> tuple[float, int]:
-    """(the keep-th greatest key, how many of those equal to it are kept), by counts alone.
+def cut_value(keys: DataFrame, key: str, keep: int) -> tuple[int, int, int]:
+    """(the keep-th greatest key, how many of those equal to it are kept, how many are equal), by counts alone.
 
-    The value is narrowed down through 16 bits at a time of an order-keeping
-    integer form, so the driver sees 65,536 counts at most in each round.
+    Keys are longs of 0 or more. The value is narrowed down by 16 bits at a
+    time, so the driver sees 65,536 counts at most in each round.
     """
     bits = keys.select(F.col(key).alias("k"))
-    low, left = 0, keep
+    low, left, equal = 0, keep, 0
     for shift in (48, 32, 16, 0):
         bucket = F.shiftrightunsigned(F.col("k"), shift)
         inside = bits if shift == 48 else bits.where(F.shiftrightunsigned(F.col("k"), shift + 16) == F.lit(low))
         counts = {r["b"]: r["count"] for r in inside.groupBy(bucket.alias("b")).count().collect()}
         for b in sorted(counts, reverse=True):
             if counts[b] >= left:
-                low = b
+                low, equal = b, counts[b]
                 break
             left -= counts[b]
-    return low, left
+    return low, left, equal
 
 
-def importance(docs: DataFrame, target: DataFrame | list[DataFrame], id_col: str = "doc_id", text_col: str = "text", keep: float = 0.7, buckets: int = 20_000, typical: float = 64.0, seed: int = 5) -> DataFrame:
+def greatest(rows: DataFrame, keys: list[str], keep: int) -> F.Column:
+    """Whether a row is among the ``keep`` greatest by keys in order; exactly so many if the last key tells rows apart.
+
+    Each key is looked at only among the rows that those before it leave tied
+    at the cut, however many these are.
+    """
+    found, tied = F.lit(False), F.lit(True)
+    for key in keys:
+        cut, left, equal = cut_value(rows.where(tied), key, keep)
+        found, tied = found | (tied & (F.col(key) > cut)), tied & (F.col(key) == cut)
+        if left == equal:
+            return found | tied
+        keep = left
+    return found | tied
+
+
+def importance(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: float = 0.7, buckets: int = 20_000, typical: float | None = None, seed: int = 5) -> DataFrame:
     """Per row: id, log_weight, gumbel_key and kept: a sample of the share ``keep`` of rows.
 
-    log_weight: of a row's hashed words and word pairs, the mean of log
-    p(target) - log p(raw), times ``typical``; a sum would make a row's length
-    decide. Both models are counts over all rows of target (or of all of a list
-    of targets, counted one after another) and docs, smoothed by one half. Added Gumbel noise (from a hash of id and seed) and the
-    greatest keys make it a sample without replacement in proportion to the
-    weights. Exactly round(keep * rows) are kept, ties by id.
+    log_weight: log p(target) - log p(raw) of a row's hashed words and word
+    pairs, the sum over all of them. Both models are counts over all rows of
+    target and docs, smoothed by one half. ``typical``, an option: the mean
+    over a row's n-grams times that number, as if every row had so many, where
+    lengths should not decide. Added Gumbel noise (from a hash of id and seed)
+    and the greatest keys make it a sample without replacement in proportion
+    to the weights.
+
+    Exactly round(keep * rows) are kept (half to even). Keys are compared to
+    2^-24 and within 1e9 of 0; ties go by a hash of the id, then by row: of
+    equal rows, as many as are due.
 
     Null or empty texts weigh 0 (the ratio of a text that tells nothing). Null
     ids share their noise. Repeated rows are drawn alike up to ties. Without
-    target texts all weights are 0. Other columns are ignored.
+    target texts all weights are 0. Other columns are ignored; an empty table
+    gives an empty one.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality")
-    targets = target if isinstance(target, list) else [target]
-    raw, wanted = bucket_counts(docs, text_col, buckets) + 0.5, sum(bucket_counts(t, text_col, buckets) for t in targets)
-    wanted = wanted + 0.5 if wanted.sum() else raw
-    ratio = np.log(wanted / wanted.sum()) - np.log(raw / raw.sum())
+    raw, wanted = (bucket_counts(t, text_col, buckets) for t in (docs, target))
+    ratio = log_ratios(wanted, raw)
     rows = docs.select(docs[id_col].alias("_id"), docs[text_col].cast("string").alias("_text"))
     kind = dict(rows.dtypes)["_id"]
     held = spark.sparkContext.broadcast(ratio)  # ``buckets`` numbers
@@ -95,23 +122,16 @@ def importance(docs: DataFrame, target: DataFrame | list[DataFrame], id_col: str
         for batch in batches:
             for part in K.slices(batch, "_text"):
                 found, text = hashed(part.column("_text"), buckets)
-                n = np.bincount(text, minlength=part.num_rows)
-                total = np.bincount(text, weights=held.value[found], minlength=part.num_rows)
-                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(typical * total / np.maximum(n, 1))], names=["_id", "log_weight"])
+                total = np.bincount(text, weights=held.value[found], minlength=part.num_rows).astype(float)
+                if typical:
+                    total *= typical / np.maximum(np.bincount(text, minlength=part.num_rows), 1)
+                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(total)], names=["_id", "log_weight"])
 
     uniform = (F.shiftrightunsigned(F.xxhash64("_id", F.lit(seed)), 11).cast("double") + 0.5) / F.lit(2.0**53)
     keyed = rows.mapInArrow(run, f"_id {kind}, log_weight double").withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(uniform)))
-    scored = scratch.write(keyed, "keys")
-    # doubles in the order of unsigned integers, by way of fixed point: 2^-24 apart, ties by id below that
+    # doubles in the order of longs, by way of fixed point; the row's number is fixed by being written
     fixed = F.round(F.greatest(F.least(F.col("gumbel_key"), F.lit(1e9)), F.lit(-1e9)) * 2**24).cast("long") + F.lit(1 << 62)
-    numbered = scored.withColumn("_k", fixed)
-    n = scored.count()
-    top = round(keep * n)
-    if not top:
-        return scored.select(F.col("_id").alias(id_col), "log_weight", "gumbel_key", F.lit(False).alias("kept"))
-    cut, ties = cut_value(numbered, "_k", top)
-    # rows equal to the cut value are few (equal ids); the smallest ids of them are kept
-    tied = numbered.where(F.col("_k") == cut).orderBy("_id").limit(ties).agg(F.max("_id").alias("m"), F.count("*").alias("n")).first()
-    last = tied["m"]
-    kept = (F.col("_k") > cut) | ((F.col("_k") == cut) & (F.coalesce(F.col("_id") <= F.lit(last), F.lit(True)) if last is not None else F.lit(True)))
-    return numbered.select(F.col("_id").alias(id_col), "log_weight", "gumbel_key", kept.alias("kept"))
+    scored = scratch.write(keyed.withColumns({"_k": fixed, "_h": F.shiftrightunsigned(F.xxhash64("_id"), 1), "_row": F.monotonically_increasing_id()}), "keys")
+    top = round(keep * scored.count())
+    kept = greatest(scored, ["_k", "_h", "_row"], top) if top else F.lit(False)
+    return scored.select(F.col("_id").alias(id_col), "log_weight", "gumbel_key", kept.alias("kept"))

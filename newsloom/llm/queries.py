@@ -50,12 +50,11 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from newsloom.llm.quality import importance
-    from newsloom.llm.scratch import id_blocks
+    from newsloom.llm.scratch import having
 
     docs = _table(spark, sf_dir, "documents")
     good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
-    # all ids, a bounded block of them at a time, so that the texts need not be shuffled
-    return importance(docs, [docs.join(F.broadcast(ids), "doc_id", "left_semi") for ids in id_blocks(good, "doc_id")])
+    return importance(docs, having(docs, good, "doc_id"))
 
 
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

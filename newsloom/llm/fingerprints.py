@@ -62,37 +62,66 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(docs[id_col], F.length(F.coalesce(docs[text_col], F.lit(""))).cast("long").alias("n_chars"), bottom_k(docs[text_col], k, width).alias("sketch"))
 
 
-def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 128, width: int = 5) -> DataFrame:
+def _bounds(rows: DataFrame, n: int, ranges: int, sample: int) -> list:
+    """The least (id, hash) of each range but the first, from about ``sample`` of n rows, chosen by hash."""
+    part = (1 << 30) * sample // n if n > sample else 1 << 30
+    chosen = rows.where(F.pmod(F.xxhash64("_key", "_hash", F.lit(9)), F.lit(1 << 30)) < part)
+    held = sorted((r["_key"], r["_hash"]) for r in chosen.select("_key", "_hash").collect())
+    return sorted({held[k * len(held) // ranges] for k in range(1, ranges)}) if held else []
+
+
+def _range_of(bounds: list) -> Column:
+    """The number of bounds that are no greater than a row's (_key, _hash), by halving."""
+    if not bounds:
+        return F.lit(0)
+    longs = lambda found: F.split(F.lit(",".join(map(str, found))), ",").cast("array<long>")  # noqa: E731  one literal
+    keys, hashes = (longs([b[i] for b in bounds]) for i in (0, 1))
+    steps = longs([1 << k for k in reversed(range(len(bounds).bit_length()))])
+
+    def on(at: Column, step: Column) -> Column:
+        to = at + step
+        k, h = F.get(keys, to - 1), F.get(hashes, to - 1)
+        return F.when((to <= len(bounds)) & ((k < F.col("_key")) | ((k == F.col("_key")) & (h <= F.col("_hash")))), to).otherwise(at)
+
+    return F.aggregate(steps.cast("array<int>"), F.lit(0), on)
+
+
+def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 128, width: int = 5, rows_per_range: int = 1024, most_ranges: int = 1 << 15) -> DataFrame:
     """Each row's fingerprint, its edited text's, and its likeness to both that and the next row.
 
     The edited text has its last half replaced by the beginning of the next
-    row's (descending id; after the last one the first). Ids are cut into
-    ranges of equal width, a few thousand rows each where ids are dense, at
-    most 16384. A range's last row is also dealt to the range above, so that
-    one window by range finds every next row: a text moves once (the few
-    boundary rows twice), and no task orders all rows.
-
-    Null text: an empty one. Null ids come before all others. Rows of equal id
-    follow in the order of their texts. A single row is its own next.
+    row's (descending id; after the last one the first). Rows are cut into
+    ranges of their order that hold about as many rows each: ``rows_per_range``
+    or more, beyond ``most_ranges`` ranges. Their bounds come from a sample of
+    64 ids for each (2^18 at most), as for a sort, and only decide where a row
+    is worked on; rows of one id may fall to several, by a hash of their texts. A
+    range's last row is also dealt to the range above, so that one window by
+    range finds every next row: a text moves once (a boundary row twice), and
+    no task orders all rows.
+
+    Null text: an empty one. Ids are cast to long, any of them; what is no
+    number counts as null. Rows of a null id stay among those of the smallest
+    long. Rows of equal id follow in the order of a hash of their texts. A
+    single row is its own next. An empty table gives an empty one; other
+    columns are ignored.
     """
-    spark = docs.sparkSession
-    rows = docs.select(docs[id_col].cast("long").alias("_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("_text"))
-    facts = rows.agg(F.count("*").alias("n"), F.min("_id").alias("low"), F.max("_id").alias("high")).first()
-    ranges = min(16384, max(8, facts["n"] // 1024))
-    low, high = (0 if facts[x] is None else facts[x] for x in ("low", "high"))
-    step = max(1, -(-(high - low + 1) // ranges))
-    ranged = rows.withColumn("_range", F.coalesce(F.floor((F.col("_id") - F.lit(low)) / F.lit(step)), F.lit(-1)).cast("long"))
+    rows = docs.select(docs[id_col].try_cast("long").alias("_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("_text"))
+    rows = rows.select("*", F.coalesce("_id", F.lit(-(1 << 63))).alias("_key"), F.xxhash64("_text").alias("_hash"))
+    n = rows.count()
+    ranges = max(8, min(most_ranges, n // rows_per_range))
+    bounds = _bounds(rows, n, ranges, min(64 * ranges, 1 << 18))
+    ranged = rows.withColumn("_range", _range_of(bounds))
     # of each range, its greatest row goes to the next range that has rows, and the last one's to the first
-    tops = ranged.groupBy("_range").agg(F.max(F.struct("_id", F.xxhash64("_text").alias("h"))).alias("top"), F.count("*").alias("n"))
-    order = Window.orderBy("_range")  # 16385 rows at most
+    tops = ranged.groupBy("_range").agg(F.max(F.struct("_key", "_hash")).alias("top"))
+    order = Window.orderBy("_range")  # ``most_ranges`` rows at most
     tops = tops.select("top", F.coalesce(F.lead("_range").over(order), F.min("_range").over(Window.partitionBy())).alias("_above"))
-    tops = tops.select(F.col("top._id").alias("_top"), F.col("top.h").alias("_h"), "_above")
-    dealt = ranged.join(F.broadcast(tops), F.col("_id").eqNullSafe(F.col("_top")) & (F.xxhash64("_text") == F.col("_h")), "left")
+    tops = tops.select(F.col("top._key").alias("_top"), F.col("top._hash").alias("_h"), "_above")
+    dealt = ranged.join(F.broadcast(tops), (F.col("_key") == F.col("_top")) & (F.col("_hash") == F.col("_h")), "left")
     own = F.struct(F.col("_range").alias("r"), F.lit(False).alias("ghost"))
-    dealt = dealt.select("_id", "_text", F.explode(F.when(F.col("_above").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("_above").alias("r"), F.lit(True).alias("ghost"))))).alias("at"))
-    dealt = dealt.select("_id", "_text", "at.r", "at.ghost").repartition("r")
+    dealt = dealt.select("_id", "_text", "_key", "_hash", F.explode(F.when(F.col("_above").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("_above").alias("r"), F.lit(True).alias("ghost"))))).alias("at"))
+    dealt = dealt.select("_id", "_text", "_key", "_hash", "at.r", "at.ghost").repartition("r")
     sketched = dealt.withColumn("_sketch", bottom_k(F.col("_text"), k, width))
-    before = Window.partitionBy("r").orderBy(F.desc("ghost"), F.col("_id").asc_nulls_first(), F.xxhash64("_text"))
+    before = Window.partitionBy("r").orderBy(F.desc("ghost"), "_key", "_hash")
     nexts = sketched.withColumns({"_next": F.lag("_text").over(before), "_next_sketch": F.lag("_sketch").over(before)}).where("NOT ghost")
     n = F.length("_text")
     half = F.floor(n / 2).cast("int")

@@ -22,7 +22,9 @@ _MARK_WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: Elements whose content is no markup, and those that hold no text of the page.
 _RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
-_UNSEEN = {"head", "template", "noscript", "svg", "math", "object", "audio", "video", "canvas"}
+_UNSEEN = {"head", "template", "noscript", "svg", "annotation", "annotation-xml", "object", "audio", "video", "canvas"}
+#: Of these, those that a block's opening tag ends.
+_BROKEN_OFF = {"head", "svg", "annotation", "annotation-xml"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BLOCK = set(
     "address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol optgroup option p pre search section select summary table caption tbody td tfoot th thead tr ul".split()
@@ -54,18 +56,84 @@ def _marks(attrs: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(found))
 
 
+def _tokens(page: str) -> list[tuple[int, int, str, bool, str]]:
+    """(start, end, name, whether it closes, attributes) of a page's tags and comments (name: empty).
+
+    A raw element is one token, from its opening to its closing tag. A script
+    or style that is not closed goes to the page's end; of the others without a
+    closing tag only the opening one is taken.
+    """
+    out, at, ends = [], 0, {}
+    while m := _TAG.search(page, at):
+        at = m.end()
+        name = (m["name"] or m["name2"] or "").lower()
+        closing = bool(m["end"] or m["end2"])
+        if name in _RAW and not closing and ends.get(name, at) is not None:
+            found = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            ends[name] = found and found.end()
+            at = found.end() if found else len(page) if name in ("script", "style") else at
+        out.append((m.start(), at, name, closing, m["attrs"] or m["attrs2"] or ""))
+    return out
+
+
+def _hidden(tokens: list[tuple[int, int, str, bool, str]]) -> dict[int, tuple[int, int]]:
+    """Of opening tags of unseen elements (by number), the next token that is seen and the place from which text is.
+
+    An element ends with its own closing tag. One whose parent is closed
+    before, or that is never closed, hides nothing: what follows it is text of
+    the page. Some are also ended by a block's opening tag.
+    """
+    out: dict[int, tuple[int, int]] = {}
+    if not any(name in _UNSEEN for _, _, name, _, _ in tokens):
+        return out
+    stack: list[tuple[str, int]] = []
+    depth: dict[str, int] = {}
+
+    def pop() -> tuple[str, int]:
+        name, k = stack.pop()
+        depth[name] -= 1
+        return name, k
+
+    for k, (start, end, name, closing, attrs) in enumerate(tokens):
+        if name not in _UNSEEN and name not in _BLOCK or name in _VOID:
+            continue
+        if closing:
+            if depth.get(name):
+                while (last := pop())[0] != name:
+                    pass
+                if name in _UNSEEN:
+                    out[last[1]] = k + 1, end
+            continue
+        if name in _BLOCK and name != "html":
+            while stack and stack[-1][0] in _BROKEN_OFF:
+                out[pop()[1]] = k, start
+        if not attrs.rstrip().endswith("/"):
+            stack.append((name, k))
+            depth[name] = depth.get(name, 0) + 1
+    return out
+
+
 def leaf_blocks(page: str | None) -> list[Block]:
     """The leaf blocks of a page in order.
 
     Character references are decoded, white space is turned into one space.
-    Unclosed and misnested tags end where a browser would end the block.
+    Unclosed and misnested tags end where a browser would end the block; see
+    ``_hidden`` for those of elements without text. Formulas keep their text.
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple]] = []
     text: list[str] = []
-    linked, links, at, unseen = 0, 0, 0, 0
+    linked, links = 0, 0
     page = page or ""
 
+    def said(run: str) -> None:
+        nonlocal linked
+        if run:
+            run = html.unescape(run) if "&" in run else run
+            text.append(run)
+            if links:
+                linked += len(run.strip())
+
     def flush() -> None:
         nonlocal linked
         if text:
@@ -84,54 +152,34 @@ def leaf_blocks(page: str | None) -> list[Block]:
                 return None
         return None
 
-    end_of = len(page)
-    while at < end_of:
-        m = _TAG.search(page, at)
-        run = page[at : m.start() if m else end_of]
-        if run and not unseen:
-            run = html.unescape(run) if "&" in run else run
-            text.append(run)
-            if links:
-                linked += len(run.strip())
-        if not m:
-            break
-        at = m.end()
-        name = m["name"] or m["name2"]
+    tokens = _tokens(page)
+    hidden = _hidden(tokens)
+    at, k = 0, 0
+    while k < len(tokens):
+        start, end, name, closing, attrs = tokens[k]
+        said(page[at:start])
+        at = end
+        if k in hidden:
+            k, at = hidden[k]
+            continue
+        k += 1
         if not name:
-            if m[0].startswith("<![CDATA[") and not unseen:
-                text.append(m[0][9:-3])
+            if page.startswith("<![CDATA[", start):
+                text.append(page[start + 9 : end - 3])
             continue
-        name = name.lower()
-        if m["end"] or m["end2"]:
-            if name in _UNSEEN:
-                unseen = max(0, unseen - 1)
-            elif unseen:
-                continue
-            elif name == "a":
+        if closing:
+            if name == "a":
                 links = max(0, links - 1)
             elif name in _BLOCK:
                 flush()
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i][0] == name:
+                        del stack[i:]
                         links = 0
                         break
-                    if name in ("p", "li", "dd", "dt") and stack[k][0] in ("div", "article", "section", "main", "td", "body", "ul", "ol", "dl"):
+                    if name in ("p", "li", "dd", "dt") and stack[i][0] in ("div", "article", "section", "main", "td", "body", "ul", "ol", "dl"):
                         break
             continue
-        attrs = m["attrs"] or m["attrs2"] or ""
-        if name in _RAW:
-            ending = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-            at = ending.end() if ending else end_of
-            continue
-        if name in _UNSEEN:
-            if name == "head" or not attrs.rstrip().endswith("/"):
-                unseen += 1
-            continue
-        if name == "body":
-            unseen = 0  # ends an unclosed head
-        if unseen:
-            continue
         if name == "br":
             text.append("\n")
         elif name == "a":
@@ -146,6 +194,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
                     stack.pop()
             if name not in _VOID:
                 stack.append((name, _marks(attrs)))
+    said(page[at:])
     flush()
     return out
 

@@ -1,5 +1,6 @@
 """Operators for training data against brute force, round trips and held-out accuracy, and at their edges."""
 
+import bisect
 import collections
 import hashlib
 import itertools
@@ -264,6 +265,34 @@ def test_html_edges(spark):
     assert extract_main_text(rows.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("tag", ["noscript", "svg", "template", "object", "video", "iframe", "textarea", "canvas"])
+def test_unclosed_elements_lose_nothing(tag):
+    from newsloom.llm.html_extract import leaf_blocks
+
+    got = lambda page: [b.text for b in leaf_blocks(page)]
+    assert got(f"<article><p>one</p><{tag}><p>two</p><p>three</p></article><p>four</p>") == ["one", "two", "three", "four"]
+    if tag not in ("iframe", "textarea"):  # their content is no markup up to the closing tag
+        assert got(f"<div><p>one <{tag}></p><p>two</p></div><p>three</p></{tag}>") == ["one", "two", "three"]
+    assert got(f"<p>one</p><{tag}>no</{tag}><p>two</p>") == ["one", "two"]
+    assert got(f"<p>one <{tag} /> two</p><p>three</p>")[-1] == "three"
+
+
+def test_what_is_hidden_and_what_is_not():
+    from newsloom.llm.html_extract import leaf_blocks
+
+    got = lambda page: [b.text for b in leaf_blocks(page)]
+    assert got("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["so x=2 holds"]
+    assert got("<p>a <math><semantics><mi>x</mi><annotation encoding=tex>\\x</annotation></semantics></math> b</p>") == ["a x b"]
+    assert got("<svg><text>no<p>yes</p></svg><p>on</p>") == ["yes", "on"]
+    assert got("<svg><g></g>no<p>yes</p>") == ["yes"]
+    assert got("<noscript><div><noscript>no</noscript>no</div></noscript>yes") == ["yes"]
+    assert got("<head><title>no</title><div>yes</div>") == ["yes"]
+    assert got("<html><head><meta charset=x><body>yes<script>no") == ["yes"]
+    assert got("<template><p>no</template>yes<title>open") == ["yesopen"]
+    began = time.perf_counter()
+    assert got("<noscript>" * 20_000 + "x" + "<iframe>" * 20_000 + "</noscript>" * 5 + "y") == ["y"] and time.perf_counter() - began < 5
+
+
 # 3: mixing
 
 
@@ -633,6 +662,39 @@ def test_fingerprints(spark):
     assert edited_fingerprints(docs.unionByName(docs).withColumn("doc_id", F.expr("CASE WHEN doc_id > 5 THEN doc_id END"))).count() == 2 * len(texts)
 
 
+def next_rows(rows):
+    """Of each row (id, text), those that may be its next one by descending id."""
+    ids = sorted({i for i, _ in rows})
+    return {i: [t for j, t in rows if j == ids[k - 1]] for k, i in enumerate(ids)}
+
+
+@pytest.mark.parametrize("ids", [[-(1 << 63), -5, 0, 7, (1 << 63) - 1], [*range(60), *range(10**15, 10**15 + 60)], [3, 10**18]])
+def test_fingerprints_of_wide_and_clustered_ids(spark, ids):
+    from newsloom.llm.fingerprints import edited_fingerprints
+
+    rows = [(i, f"text {i} " + "a b c d e f " * (k % 4)) for k, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    nexts = next_rows(rows)
+    for r in edited_fingerprints(docs, rows_per_range=5).collect():
+        own = dict(rows)[r["doc_id"]]
+        wanted = {hashlib.sha256((own[: len(own) - len(own) // 2] + t[: len(own) // 2]).encode()).hexdigest() for t in nexts[r["doc_id"]]}
+        assert r["edited_sha256"] in wanted
+    named = docs.withColumn("doc_id", F.concat(F.lit("x"), "doc_id"))
+    assert edited_fingerprints(named).count() == len(rows)
+
+
+def test_ranges_hold_about_as_many_rows_each(spark):
+    from newsloom.llm.fingerprints import _bounds, _range_of
+
+    rows = spark.range(20_000).select(F.expr("CASE WHEN id % 3 = 0 THEN 5 WHEN id % 3 = 1 THEN id ELSE id + 1000000000000 END").alias("_key"), F.xxhash64("id").alias("_hash"))
+    bounds = _bounds(rows, 20_000, 50, 3200)
+    assert len(bounds) > 45
+    sizes = [r["count"] for r in rows.groupBy(_range_of(bounds)).count().collect()]
+    assert len(sizes) == len(bounds) + 1 and max(sizes) < 1200
+    held = sorted((r["_key"], r["_hash"], r["at"]) for r in rows.withColumn("at", _range_of(bounds)).collect())
+    assert all(at == bisect.bisect_right(bounds, (k, h)) for k, h, at in held)
+
+
 def test_sketches_merge_and_estimate(spark):
     from newsloom.llm import fingerprints as P
 

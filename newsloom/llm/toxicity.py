@@ -183,9 +183,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     The bound holds what the driver collects; the rows are those of smallest
     id hash, so the sample is the same every time. Rows with null ids, labels
-    or texts are left out. Without rows of both classes the model is neutral.
+    or texts are left out; an id labelled both ways counts as toxic. Without rows
+    of both classes the model is neutral.
     """
-    known = labels.select(labels[id_col].alias("_id"), labels[label_col].cast("int").alias("_toxic")).where("_id IS NOT NULL AND _toxic IN (0, 1)").dropDuplicates(["_id"])
+    known = labels.select(labels[id_col].alias("_id"), labels[label_col].cast("int").alias("_toxic")).where("_id IS NOT NULL AND _toxic IN (0, 1)")
+    known = known.groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
     sizes = {r["_toxic"]: r["count"] for r in known.groupBy("_toxic").count().collect()}
     chosen = None
     for y in (0, 1):

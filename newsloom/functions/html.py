@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import html as references
+import json
+import re
+from collections import deque
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType, StructField, StructType
-
-ARTICLE = StructType([StructField(x, StringType()) for x in ("published", "modified", "title", "summary", "cover", "author")])
+from pyspark.sql.types import MapType, StringType
 
-# Which tags carry an article's fields, and what is taken out of its text.
-JSON_LD = r"""<script[^>]+type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
-CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
+# Types and tags that carry an article's fields, and elements that are not part of its text.
 ARTICLE_TYPES = ("Article", "NewsArticle", "BlogPosting", "Report")
 META_KEYS = {
     "published": ("article:published_time", "publishdate", "date"),
@@ -22,75 +24,135 @@ META_KEYS = {
     "cover": ("og:image", "og:image:secure_url", "twitter:image"),
     "author": ("article:author", "author"),
 }
-KEY_FIRST = "(?i)<meta[^>]*?(?:property|name)=[\"']KEY[\"'][^>]*?content=[\"']([^\"']*)[\"']"
-CONTENT_FIRST = "(?i)<meta[^>]*?content=[\"']([^\"']*)[\"'][^>]*?(?:property|name)=[\"']KEY[\"']"
-LEFT_OUT = r"(?is)<(script|style|nav|footer|aside)[^>]*>.*?</\1>"
-ARTICLE_BODY = r"(?is)<article[^>]*>(.*?)</article>"
+LEFT_OUT = ("script", "style", "nav", "footer", "aside")
 
 
 @pandas_udf(StringType())
 def unescape(text: pd.Series) -> pd.Series:
     """All named and numbered character references; Spark has no such function."""
-    import html
+    return text.map(lambda t: None if t is None else references.unescape(t))
 
-    return text.map(lambda t: None if t is None else html.unescape(t))
 
+def attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's attribute, in double or single quotes or without; null if it has none."""
+    found = lambda value: F.regexp_extract(tag, rf"(?is)[\s\"'/]{name}\s*=\s*{value}", 1)
+    has = lambda value: tag.rlike(rf"(?is)[\s\"'/]{name}\s*=\s*{value}")
+    double, single, bare = '"([^"]*)"', "'([^']*)'", "([^\\s\"'>]+)"
+    return F.when(has(double), found(double)).when(has(single), found(single)).when(has(bare), found(bare))
 
-@pandas_udf(ARTICLE)
-def json_ld(page: pd.Series) -> pd.DataFrame:
-    """Fields of the first article-like JSON-LD node; a key that the node states as null holds "\\0" here."""
-    import json
-    import re
 
-    block = re.compile(JSON_LD, re.S | re.I)
+def meta_tags(page: Column | str) -> Column:
+    """array<struct<key, said>> of a page's meta tags that name a property: in order, keys in lower case, blank ones left out."""
+    tags = F.regexp_extract_all(page, F.lit(r"(?i)<meta\s[^>]*>"), F.lit(0))
+    parsed = F.transform(tags, lambda t: F.struct(F.lower(F.coalesce(attribute(t, "property"), attribute(t, "name"))).alias("key"), F.trim(attribute(t, "content")).alias("said")))
+    return F.filter(parsed, lambda x: x["key"].isNotNull() & (x["said"] != ""))
 
-    def nodes(text: str):
-        for raw in block.findall(text or ""):
-            try:
-                data = json.loads(re.sub(CONTROL, "", raw.strip()))
-            except ValueError:
-                continue
-            for d in data if isinstance(data, list) else [data]:
-                if isinstance(d, dict):
-                    yield from (x for x in (d["@graph"] or [] if "@graph" in d else [d]) if isinstance(x, dict))
 
-    def first(v, key):
-        v = v[0] if isinstance(v, list) and v else v
-        return v.get(key) if isinstance(v, dict) else v
+def first_said(tags: Column, *keys: str) -> Column:
+    """What the first of the keys that is there says."""
 
-    def one(text: str):
-        for d in nodes(text):
-            kinds = d.get("@type", "")
-            if any(str(k).endswith(ARTICLE_TYPES) for k in (kinds if isinstance(kinds, list) else [kinds])):
-                said = [d.get("datePublished") or d.get("dateCreated"), d.get("dateModified"), d.get("headline"), d.get("description")]
-                open_ = [first(d.get("image"), "url") or None, first(d.get("author"), "name") or None]
-                return ["\0" if v is None else str(v) for v in said] + [None if v is None else str(v) for v in open_]
-        return [None] * 6
+    def of(key: str) -> Column:
+        return F.get(F.filter(tags, lambda x: x["key"] == key.lower()), 0)["said"]
 
-    return pd.DataFrame([one(t) for t in page], columns=["published", "modified", "title", "summary", "cover", "author"])
+    return F.coalesce(*map(of, keys))
 
 
 def meta(page: Column | str, *keys: str) -> Column:
-    """The first non-blank meta tag of the keys, attributes in either order, never past the tag's end."""
-    found = []
-    for k in keys:
-        k = k.replace(".", "\\.")
-        for pattern in (KEY_FIRST, CONTENT_FIRST):
-            found.append(F.nullif(F.trim(F.regexp_extract(page, pattern.replace("KEY", k), 1)), F.lit("")))
-    return F.trim(unescape(F.coalesce(*found)))
+    """The content of the first key that some meta tag states, attributes in any order; references decoded."""
+    return F.trim(unescape(first_said(meta_tags(page), *keys)))
+
+
+def _structured(page: str) -> Iterator[dict]:
+    """JSON-LD objects of a page, in order; lists and graphs are opened, broken blocks passed over."""
+    for part in re.split(r"<script(?=\s)", page, flags=re.I)[1:]:
+        head, _, rest = part.partition(">")
+        kind = re.search(r"\btype\s*=\s*[\"']?\s*([^\"'\s>]+)", head, re.I)
+        if not kind or kind[1].lower() != "application/ld+json":
+            continue
+        end = re.search(r"</script", rest, re.I)
+        said = "".join(c for c in rest[: end.start() if end else 0] if c >= " " or c in "\t\n\r")
+        try:
+            waiting = deque([json.loads(said)])
+        except ValueError:
+            continue
+        while waiting:
+            node = waiting.popleft()
+            if isinstance(node, list):
+                waiting.extendleft(reversed(node))
+            elif isinstance(node, dict) and "@graph" in node:
+                waiting.appendleft(node["@graph"])
+            elif isinstance(node, dict):
+                yield node
+
+
+def _is_article(node: dict) -> bool:
+    kinds = node.get("@type")
+    return any(str(k).endswith(ARTICLE_TYPES) for k in (kinds if isinstance(kinds, list) else [kinds]))
+
+
+def _named(value, key: str):
+    """A value given as itself, as an object with a key, or as a list of either."""
+    while isinstance(value, list) and value:
+        value = value[0]
+    return value.get(key) if isinstance(value, dict) else value
+
+
+def stated_fields(page: str | None) -> dict[str, str | None]:
+    """Fields of the first article node: what it leaves out is stated as null, but for cover and author."""
+    node = next(filter(_is_article, _structured(page or "")), None)
+    if node is None:
+        return {}
+    out = {"published": node.get("datePublished") or node.get("dateCreated"), "modified": node.get("dateModified"), "title": node.get("headline"), "summary": node.get("description")}
+    out |= {k: v for k, v in (("cover", _named(node.get("image"), "url")), ("author", _named(node.get("author"), "name"))) if v}
+    return {k: None if v is None else str(v) for k, v in out.items()}
+
+
+@pandas_udf(MapType(StringType(), StringType()))
+def json_ld(page: pd.Series) -> pd.Series:
+    return page.map(stated_fields)
+
+
+def visible_text(page: str | None, most: int) -> str | None:
+    """The first ``most`` characters of a page's article (of all, if it has none), one space between words.
+
+    One pass over the tags. Elements of LEFT_OUT are skipped to their own
+    closing tag, tags are spaces, references are decoded last.
+    """
+    if page is None:
+        return None
+    lower, at, out, inside = page.lower(), 0, [], None
+    if len(lower) != len(page):  # letters whose lower case is longer
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), page)
+    while (tag := lower.find("<", at)) >= 0:
+        end = lower.find(">", tag + 1)
+        if end < 0 or end == tag + 1:
+            out.append(page[at : tag + 1])
+            at = tag + 1
+            continue
+        out.append(page[at:tag])
+        name = next((x for x in LEFT_OUT if lower.startswith(x, tag + 1)), None)
+        closing = lower.find(f"</{name}>", end) if name else -1
+        if closing >= 0:
+            end = closing + len(name) + 2
+        elif lower.startswith("article", tag + 1) and inside is None and lower.find("</article>", end) >= 0:
+            inside, out = True, []
+        elif lower.startswith("/article>", tag + 1) and inside:
+            at = len(page)
+            break
+        out.append(" ")
+        at = end + 1
+    out.append(page[at:])
+    return " ".join(references.unescape("".join(out)).split())[:most]
 
 
-def strip_tags(page: Column | str) -> Column:
-    """Text of the first <article> (or all), without script, style, nav, footer and aside; references left encoded."""
-    page = F.col(page) if isinstance(page, str) else page
-    bare = F.regexp_replace(page, LEFT_OUT, " ")
-    inner = F.regexp_extract(bare, ARTICLE_BODY, 1)
-    inner = F.when(bare.rlike(ARTICLE_BODY), inner).otherwise(bare)
-    return F.regexp_replace(inner, "<[^>]+>", " ")
+def body_text(page: Column | str, most: int = 12_000) -> Column:
+    """The article's text. The limit is the field's own: it holds what evidence is checked against."""
 
+    @pandas_udf(StringType())
+    def cut(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda p: visible_text(p, most))
 
-def body_text(page: Column | str, most: int = 12_000) -> Column:
-    return F.substring(F.trim(F.regexp_replace(unescape(strip_tags(page)), r"(?U)\s+", " ")), 1, most)
+    return cut(page)
 
 
 def absolute(base: Column | str, link: Column | str) -> Column:
@@ -111,9 +173,11 @@ def article_fields(page: Column | str, url: Column | str) -> Column:
     """struct of published, modified, title, summary, cover, author and body.
 
     JSON-LD first, then meta tags. A date, title or summary that the JSON-LD
-    node has as null blocks its meta tag; image and author fall back.
+    node has as null, or leaves out, blocks its meta tag; image and author fall
+    back. A quotation mark of the other kind does not end an attribute.
     """
-    ld = json_ld(page)
-    value = {k: F.nullif(F.nullif(F.coalesce(ld[k], meta(page, *v)), F.lit("\0")), F.lit("")) for k, v in META_KEYS.items()}
+    ld, tags = json_ld(page), meta_tags(page)
+    said = {k: F.when(F.map_contains_key(ld, k), F.try_element_at(ld, F.lit(k))).otherwise(F.trim(unescape(first_said(tags, *keys)))) for k, keys in META_KEYS.items()}
+    value = {k: F.nullif(v, F.lit("")) for k, v in said.items()}
     value["cover"] = absolute(url, value["cover"])
     return F.struct(*(v.alias(k) for k, v in value.items()), F.nullif(body_text(page), F.lit("")).alias("body"))

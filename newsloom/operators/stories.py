@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import title_tokens
@@ -26,48 +26,91 @@ def weighted_tokens(items: DataFrame, id_col: str = "id", title: str = "title",
     return joined.withColumn("weight", F.aggregate("words", F.lit(0.0), lambda a, x: a + x["idf"]))
 
 
+def _slot(at: str, hours: int) -> Column:
+    return F.floor(F.unix_micros(at) / F.lit(hours * 3_600_000_000))
+
+
+def _indexed(threshold: float, least: int) -> Column:
+    """Of ``words`` (rarest first, with weights) those to index: see similar_pairs."""
+    # keep a word while enough weight and enough words follow from it on
+    rest = lambda i: F.aggregate(F.slice("words", i + 1, F.size("words")), F.lit(0.0), lambda a, y: a + y["idf"])
+    told = F.transform(F.col("words"), lambda x, i: F.struct(x["word"].alias("word"), ((rest(i) >= threshold * F.col("weight") * (1 - 1e-9)) & (F.size("words") - i >= least)).alias("kept")))
+    return F.transform(F.filter(told, lambda x: x["kept"]), lambda x: x["word"])
+
+
+def _candidates(t: DataFrame, threshold: float, hours: int | None, least: int) -> DataFrame:
+    """Distinct (a, b), a < b, of rows (id, low, high, words, weight) that share an indexed word.
+
+    low and high bound the times a row stands for, all within one slot of
+    ``hours``; rows meet if they come as near as that. Rows without times, or
+    all rows if hours is None, meet all others.
+    """
+    indexed = t.withColumn("_keys", _indexed(threshold, least))
+    ordered = (F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
+    flat = indexed.select("id", "low", "high", F.explode("_keys").alias("k"))
+    if hours is None:
+        l, r = flat.alias("l"), flat.alias("r")
+        return l.join(r, (F.col("l.k") == F.col("r.k")) & (F.col("l.id") < F.col("r.id"))).select(*ordered).distinct()
+    dated = flat.where("low IS NOT NULL").withColumn("s", _slot("low", hours))
+    near = dated.withColumn("at", F.explode(F.array(F.col("s"), F.col("s") - 1)))  # a row also meets those of the slot before
+    l, r = dated.alias("l"), near.alias("r")
+    close = F.unix_micros("r.low") - F.unix_micros("l.high") <= hours * 3_600_000_000
+    once = F.when(F.col("l.s") == F.col("r.s"), F.col("l.id") < F.col("r.id")).otherwise(close & (F.col("l.id") != F.col("r.id")))
+    found = l.join(r, (F.col("l.k") == F.col("r.k")) & (F.col("l.s") == F.col("r.at")) & once).select(*ordered)
+    l, r = flat.where("low IS NULL").alias("l"), flat.alias("r")
+    more = l.join(r, (F.col("l.k") == F.col("r.k")) & (F.col("l.id") != F.col("r.id"))).select(*ordered)
+    return found.unionByName(more).distinct()
+
+
+def _scored(candidates: DataFrame, t: DataFrame, threshold: float, least: int) -> DataFrame:
+    """(a, b, similarity) of candidates at or above the threshold."""
+    of = lambda side: t.select(F.col("id").alias(side), F.col("words").alias(f"w{side}"), F.col("weight").alias(f"n{side}"))
+    both = candidates.join(of("a"), "a").join(of("b"), "b")
+    common = F.array_intersect("wa", "wb")
+    shared = F.aggregate(common, F.lit(0.0), lambda a, w: a + w["idf"])
+    scored = both.where(F.size(common) >= least).select("a", "b", (shared / (F.col("na") + F.col("nb") - shared)).alias("similarity"))
+    return scored.where(F.col("similarity") >= threshold)
+
+
 def similar_pairs(items: DataFrame, id_col: str = "id", title: str = "title", published: str = "published", threshold: float = THRESHOLD, hours: int | None = HOURS, least: int = LEAST_COMMON) -> DataFrame:
-    """(a, b, similarity), a < b, of titles at or above the threshold, within the window.
+    """(a, b, similarity), a < b, of titles at or above the threshold, within the window: each pair.
 
     An equi-join on words. Of a title only its rarest words are indexed: two
     of its commonest are left out (a pair shares three words or more), and so
     is a tail lighter than threshold times the title's weight (the shared
     weight is at least that). Both rules lose no pair and keep frequent words
     out of the join. Dated titles also meet by windows of ``hours``; undated
-    ones are compared with all.
+    ones are compared with all. ``stories`` needs no pairs of equal titles.
     """
-    t = weighted_tokens(items, id_col, title, published)
-    # words are rarest first; keep a word while enough weight and enough words follow from it on
-    lighter = F.transform(F.col("words"), lambda x, i: F.struct(x["word"].alias("word"), (F.aggregate(F.slice("words", i + 1, F.size("words")), F.lit(0.0), lambda a, y: a + y["idf"]) >= threshold * F.col("weight") * (1 - 1e-9)).alias("heavy"), (F.size("words") - i >= least).alias("enough")))
-    indexed = t.withColumn("_keys", F.transform(F.filter(lighter, lambda x: x["heavy"] & x["enough"]), lambda x: x["word"]))
-    if hours is None:
-        left = right = indexed.select("id", F.explode("_keys").alias("k"))
-        found = left.alias("l").join(right.alias("r"), (F.col("l.k") == F.col("r.k")) & (F.col("l.id") < F.col("r.id"))).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
-    else:
-        slot = F.floor(F.unix_micros("published") / F.lit(hours * 3_600_000_000))
-        dated = indexed.where("published IS NOT NULL").select("id", "published", F.explode("_keys").alias("k"), slot.alias("s"))
-        near = dated.select("id", "published", "k", "s", F.explode(F.array(F.col("s"), F.col("s") - 1)).alias("at"))
-        l, r = dated.alias("l"), near.alias("r")
-        close = F.abs(F.unix_micros("l.published") - F.unix_micros("r.published")) <= hours * 3_600_000_000
-        once = F.when(F.col("l.s") == F.col("r.s"), F.col("l.id") < F.col("r.id")).otherwise(F.col("l.id") != F.col("r.id"))
-        found = l.join(r, (F.col("l.k") == F.col("r.k")) & (F.col("l.s") == F.col("r.at")) & close & once).select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
-        undated = indexed.where("published IS NULL").select("id", F.explode("_keys").alias("k"))
-        every = indexed.select("id", "published", F.explode("_keys").alias("k"))
-        more = undated.alias("u").join(every.alias("e"), (F.col("u.k") == F.col("e.k")) & (F.col("u.id") != F.col("e.id"))).select(F.least("u.id", "e.id").alias("a"), F.greatest("u.id", "e.id").alias("b"))
-        found = found.unionByName(more)
-    x, y = t.select("id", "words", "weight"), t.select("id", "words", "weight")
-    both = found.distinct().join(x.select(F.col("id").alias("a"), F.col("words").alias("wa"), F.col("weight").alias("na")), "a").join(y.select(F.col("id").alias("b"), F.col("words").alias("wb"), F.col("weight").alias("nb")), "b")
-    common = F.array_intersect("wa", "wb")
-    shared = F.aggregate(common, F.lit(0.0), lambda a, w: a + w["idf"])
-    scored = both.where(F.size(common) >= least).select("a", "b", (shared / (F.col("na") + F.col("nb") - shared)).alias("similarity"))
-    return scored.where(F.col("similarity") >= threshold)
+    t = weighted_tokens(items, id_col, title, published).withColumns({"low": F.col("published"), "high": F.col("published")})
+    return _scored(_candidates(t, threshold, hours, least), t, threshold, least)
+
 
+def stories(items: DataFrame, id_col: str = "id", title: str = "title", published: str = "published", threshold: float = THRESHOLD, hours: int = HOURS, least: int = LEAST_COMMON) -> DataFrame:
+    """(id, story_id): the transitive closure of similar pairs; story_id: its smallest id.
 
-def stories(items: DataFrame, id_col: str = "id", title: str = "title", published: str = "published", **more) -> DataFrame:
-    """(id, story_id): the transitive closure of similar pairs; story_id: its smallest id."""
+    Titles of the same words in the same slot of ``hours`` are similar and near
+    each other, so they are one class, known by its smallest id, first and last
+    time; members hang on it by one link each. Only classes are compared: in
+    one slot all are near, in neighbouring slots if the later one's first time
+    is near the earlier one's last. So a story of n re-publications costs n
+    links and not their pairs. Titles of fewer words than ``least`` stay alone.
+    """
     scratch = Scratch(items.sparkSession, "stories")
-    pairs = scratch.write(similar_pairs(items, id_col, title, published, **more).select("a", "b"), "pairs")
-    parts = connected_components(scratch, pairs)
+    words = F.array_sort(F.array_distinct(title_tokens(title)))
+    rows = items.select(F.col(id_col).alias("id"), F.col(published).alias("published"), F.array_join(words, " ").alias("same"), F.size(words).alias("n")).where(F.col("n") >= least)
+    rows = scratch.write(rows.select("id", "published", "same", _slot("published", hours).alias("slot")), "titles")
+    classes = scratch.write(rows.groupBy("same", "slot").agg(F.min("id").alias("id"), F.min("published").alias("low"), F.max("published").alias("high")), "classes")
+    idf = document_frequency(items, title)
+    each = classes.select("id", "low", "high", F.explode(F.split("same", " ")).alias("word")).join(idf, "word")
+    t = each.groupBy("id", "low", "high").agg(F.sort_array(F.collect_list(F.struct("idf", "word")), asc=False).alias("words"))
+    t = scratch.write(t.withColumn("weight", F.aggregate("words", F.lit(0.0), lambda a, x: a + x["idf"])), "words")
+    links = _scored(_candidates(t, threshold, hours, least), t, threshold, least).select("a", "b")
+    c, r = classes.select(F.col("id").alias("b"), "same", "slot").alias("c"), rows.alias("r")
+    member = r.join(c, (F.col("r.same") == F.col("c.same")) & F.col("r.slot").eqNullSafe(F.col("c.slot"))).select(F.col("r.id").alias("a"), "b")
+    links = scratch.write(links.unionByName(member.where("a <> b")), "links")
+    parts = scratch.write(connected_components(scratch, links), "components")
+    scratch.drop(rows, classes, t, links)
     return items.select(F.col(id_col).alias("id")).join(parts, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("story_id"))
 
 
@@ -80,26 +123,40 @@ def rollup(items: DataFrame, membership: DataFrame) -> DataFrame:
 
 def band_join(new: DataFrame, stored: DataFrame, hours: int = HOURS, at: str = "published") -> DataFrame:
     """Pairs (new_id, stored_id) of rows within ``hours`` of one another, by an equi-join on windows."""
-    slot = lambda c: F.floor(F.unix_micros(c) / F.lit(hours * 3_600_000_000))
-    n = new.where(F.col(at).isNotNull()).select(F.col("id").alias("new_id"), F.col(at).alias("_n"), F.explode(F.sequence(slot(at) - 1, slot(at) + 1)).alias("_s"))
-    s = stored.where(F.col(at).isNotNull()).select(F.col("id").alias("stored_id"), F.col(at).alias("_o"), slot(at).alias("_s"))
+    n = new.where(F.col(at).isNotNull()).select(F.col("id").alias("new_id"), F.col(at).alias("_n"), F.explode(F.sequence(_slot(at, hours) - 1, _slot(at, hours) + 1)).alias("_s"))
+    s = stored.where(F.col(at).isNotNull()).select(F.col("id").alias("stored_id"), F.col(at).alias("_o"), _slot(at, hours).alias("_s"))
     return n.join(s, "_s").where(F.abs(F.unix_micros("_n") - F.unix_micros("_o")) <= hours * 3_600_000_000).select("new_id", "stored_id")
 
 
-def assign_online(new: DataFrame, stored: DataFrame, hours: int = HOURS, threshold: float = THRESHOLD) -> DataFrame:
+def assign_online(new: DataFrame, stored: DataFrame, hours: int = HOURS, threshold: float = THRESHOLD, least: int = LEAST_COMMON) -> DataFrame:
     """(id, story_id) of new rows: of the stored row most similar by plain word sets, or their own id.
 
     stored: id, title, published, story_id. Undated rows begin a story. Ties
-    go to the smaller stored id. Candidates share a word and are not capped.
+    go to the smaller stored id. Candidates are not capped: they share a word
+    that both index. Each title indexes its rarest words (by how many stored
+    titles have them) and leaves out so many of its commonest that a similar
+    pair cannot be made of those alone. Only ids meet in the join; the words
+    follow for the pairs that come out of it.
     """
-    slot = lambda c: F.floor(F.unix_micros(c) / F.lit(hours * 3_600_000_000))
-    n = new.where("published IS NOT NULL").select("id", "published", F.array_distinct(title_tokens("title")).alias("wn"))
-    s = stored.where("published IS NOT NULL AND story_id IS NOT NULL").select(F.col("id").alias("sid"), F.col("published").alias("sp"), "story_id", F.array_distinct(title_tokens("title")).alias("ws"))
-    l = n.select("id", "published", "wn", F.explode("wn").alias("k"), F.explode(F.array(slot("published") - 1, slot("published"), slot("published") + 1)).alias("at"))
-    r = s.select("sid", "sp", "story_id", "ws", F.explode("ws").alias("k"), slot("sp").alias("at"))
-    near = l.join(r, ["k", "at"]).where(F.abs(F.unix_micros("published") - F.unix_micros("sp")) <= hours * 3_600_000_000).dropDuplicates(["id", "sid"])
+    words = F.array_distinct(title_tokens("title"))
+    n = new.where("published IS NOT NULL").select("id", "published", words.alias("w"))
+    s = stored.where("published IS NOT NULL AND story_id IS NOT NULL").select("id", "published", "story_id", words.alias("w"))
+    df = s.select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
+
+    def keys(rows: DataFrame) -> DataFrame:
+        each = rows.where(F.size("w") >= least).select("id", "published", F.size("w").alias("n"), F.explode("w").alias("word")).join(df, "word", "left")
+        # a similar title shares max(least, threshold * n) words with it
+        held = each.groupBy("id", "published", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "word"))).alias("words"))
+        needed = F.greatest(F.lit(least), F.ceil(threshold * F.col("n") - 1e-9).cast("int"))
+        return held.select("id", "published", F.explode(F.slice("words", F.lit(1), F.col("n") - needed + 1)).alias("k")).select("id", "published", "k.word")
+
+    l = keys(n).withColumn("at", F.explode(F.array(*(_slot("published", hours) + d for d in (-1, 0, 1))))).alias("l")
+    r = keys(s).withColumn("at", _slot("published", hours)).alias("r")
+    close = F.abs(F.unix_micros("l.published") - F.unix_micros("r.published")) <= hours * 3_600_000_000
+    near = l.join(r, (F.col("l.word") == F.col("r.word")) & (F.col("l.at") == F.col("r.at")) & close).select(F.col("l.id").alias("id"), F.col("r.id").alias("sid")).distinct()
+    both = near.join(n.select("id", F.col("w").alias("wn")), "id").join(s.select(F.col("id").alias("sid"), "story_id", F.col("w").alias("ws")), "sid")
     common = F.size(F.array_intersect("wn", "ws"))
-    scored = near.where(common >= LEAST_COMMON).withColumn("sim", common / F.size(F.array_union("wn", "ws"))).where(F.col("sim") >= threshold)
+    scored = both.where(common >= least).withColumn("sim", common / F.size(F.array_union("wn", "ws"))).where(F.col("sim") >= threshold)
     best = scored.groupBy("id").agg(F.max_by("story_id", F.struct("sim", -F.col("sid"))).alias("story_id"))
     return new.select("id").join(best, "id", "left").select("id", F.coalesce("story_id", "id").alias("story_id"))
 
@@ -111,5 +168,5 @@ def latest_per(rows: DataFrame, key: str, order: list) -> DataFrame:
     return last.select(key, *(F.col(f"_row.`{c}`").alias(c) for c in rest))
 
 
-def rank_by(partition: list[str], order: list) -> F.Column:
+def rank_by(partition: list[str], order: list) -> Column:
     return F.row_number().over(Window.partitionBy(*partition).orderBy(*order))

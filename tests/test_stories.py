@@ -97,3 +97,32 @@ def test_online(spark):
     stored = spark.createDataFrame([(1, "port opens new pier today", DAY, 1), (2, "port opens new pier soon", DAY + dt.timedelta(hours=1), 9)], "id bigint, title string, published timestamp, story_id bigint")
     new = spark.createDataFrame([(10, "port opens new pier soon", DAY), (11, "port opens new pier soon", None), (12, "other", DAY), (13, "port opens new pier today", DAY + dt.timedelta(days=9))], "id bigint, title string, published timestamp")
     assert {r["id"]: r["story_id"] for r in stories.assign_online(new, stored).collect()} == {10: 9, 11: 11, 12: 12, 13: 13}
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_classes_of_equal_titles_give_the_closure_of_all_pairs(spark, seed):
+    """Many re-publications of the same words, near slot edges, undated ones, titles of two words."""
+    r = random.Random(seed)
+    titles = ["port opens new pier", "Pier new opens port", "port opens new bridge today", "mayor visits old market hall", "market hall old mayor", "two words", "storm closes coast road north", "storm closes coast road south"]
+    rows = [(i, r.choice(titles), None if r.random() < 0.04 else DAY + dt.timedelta(hours=r.choice([0, 71, 72, 73, 144, 145, 200, 217, 300, r.randint(0, 400)]))) for i in range(90)]
+    items = spark.createDataFrame(rows, "id bigint, title string, published timestamp")
+    pairs = {(x["a"], x["b"]) for x in stories.similar_pairs(items).collect()}
+    got = {x["id"]: x["story_id"] for x in stories.stories(items).collect()}
+    assert got == closure([i for i, *_ in rows], pairs)
+
+
+def test_online_against_all_pairs(spark):
+    r = random.Random(8)
+    vocabulary = [f"word{i}" for i in range(30)] + ["city"] * 20
+    title = lambda: " ".join(r.choice(vocabulary) for _ in range(r.randint(1, 9)))
+    at = lambda: DAY + dt.timedelta(hours=r.randint(0, 300))
+    stored = [(i, title(), None if i % 17 == 0 else at(), None if i % 13 == 0 else i % 40) for i in range(150)]
+    new = [(1000 + i, title(), at()) for i in range(120)]
+    got = {x["id"]: x["story_id"] for x in stories.assign_online(spark.createDataFrame(new, "id bigint, title string, published timestamp"), spark.createDataFrame(stored, "id bigint, title string, published timestamp, story_id bigint")).collect()}
+    for i, t, p in new:
+        best = (0, 0, i)
+        for j, u, q, story in stored:
+            a, b = set(t.split()), set(u.split())
+            if q and story is not None and abs(p - q) <= dt.timedelta(hours=72) and len(a & b) >= 3 and len(a & b) / len(a | b) >= 0.3:
+                best = max(best, (len(a & b) / len(a | b), -j, story))
+        assert got[i] == best[2]

@@ -6,7 +6,10 @@ a run of ASCII white space and the run of other characters after it. Chunks
 repeat like words do: of a batch, each different one is encoded once by the
 library and then looked up by a 64-bit hash of its bytes. Texts holding other
 white space, where such a split could fall inside one pre-token, are split only
-between an ASCII letter or digit and a space that another follows.
+between an ASCII letter or digit and a space that another follows. Letters,
+digits and punctuation of ASCII are different pre-tokens too, but for what
+follows an apostrophe; so they are split as well, in texts without the strings
+of special tokens.
 """
 
 from __future__ import annotations
@@ -23,6 +26,10 @@ from newsloom.llm import kernels as K
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _ALNUM = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
+#: Classes of bytes (1 letter, 2 digit, 3 punctuation, 4 apostrophe, 0 others), and of which two neighbours there is a split.
+_CLASS = np.array([0 if b <= 32 or b >= 127 else 1 if chr(b).isalpha() else 2 if chr(b).isdigit() else 4 if chr(b) == "'" else 3 for b in range(256)], np.uint8)
+_PART = np.zeros(25, bool)
+_PART[[5 * a + b for a, b in ((1, 2), (1, 3), (1, 4), (2, 1), (2, 3), (2, 4), (3, 1), (3, 2))]] = True
 #: Bytes that may begin white space outside ASCII.
 _LEAD = np.zeros(256, bool)
 _LEAD[[0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
@@ -52,7 +59,18 @@ def _other_space(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _holding(data: np.ndarray, offsets: np.ndarray, strings: list[bytes]) -> np.ndarray:
+    """Of each text, whether it holds one of the strings."""
+    out, whole = np.zeros(len(offsets) - 1, bool), data.tobytes()
+    for x in strings:
+        at = whole.find(x)
+        while at >= 0:
+            out[np.searchsorted(offsets, at, "right") - 1] = True
+            at = whole.find(x, at + 1)
+    return out
+
+
+def chunks(data: np.ndarray, offsets: np.ndarray, special: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the chunks of all texts, and n + 1 places of the texts' first ones."""
     n = len(data)
     begins = np.zeros(n + 1, bool)
@@ -64,6 +82,12 @@ def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         plain = np.zeros(n, bool)
         plain[1:-1] = _ALNUM[data[:-2]] & (data[1:-1] == 0x20) & _ALNUM[data[2:]]
         begins[:n] = np.where(inside, plain, begins[:n])
+    kind = _CLASS[data]
+    parts = _PART[kind[:-1] * np.uint8(5) + kind[1:]]
+    held = _holding(data, offsets, special)
+    if held.any():
+        parts &= ~np.repeat(held, np.diff(offsets))[1:]
+    begins[1:n] |= parts
     begins[offsets[:-1]] = True  # an empty text begins where the next one does
     start = np.flatnonzero(begins[:n])
     return start, np.append(start[1:], n), np.searchsorted(start, offsets)
@@ -77,10 +101,11 @@ class Encoder:
     are taken as the library's default has it. Chunks are used for such
     ``.json`` files as ``splits_at_spaces`` accepts; other kinds encode whole
     texts. The cache is dropped when it holds ``cached`` chunks or 16 million
-    ids; chunks of more than ``longest`` bytes are not kept in it.
+    ids (some 40 bytes a chunk); chunks of more than ``longest`` bytes are not
+    kept in it.
     """
 
-    def __init__(self, name: str, cached: int = 600_000, longest: int = 48, path: str | None = None):
+    def __init__(self, name: str, cached: int = 2_000_000, longest: int = 48, path: str | None = None):
         if not path:
             import public_tokenizers
 
@@ -96,6 +121,7 @@ class Encoder:
             tokenizer.no_truncation()
             tokenizer.no_padding()
             self.by_chunk = splits_at_spaces(path)
+            self.special = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
             self.encode = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         elif name.endswith(".tiktoken"):
             import public_tokenizers
@@ -112,7 +138,7 @@ class Encoder:
             self.encode = lambda texts: tokenizer.encode(texts, num_threads=1)
 
     def _clear(self) -> None:
-        self.index: dict[int, int] = {}
+        self.keys, self.entry = np.zeros(0, K.U), np.zeros(0, np.int64)  # hashes of cached chunks in order, and their entries
         self.held = np.zeros(1 << 16, np.uint32)  # ids of all entries, one after another
         self.at = np.zeros(1, np.int64)  # n + 1 places
 
@@ -136,25 +162,29 @@ class Encoder:
 
     def _entries(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The entry of each chunk."""
-        if len(self.index) > self.cached or self.at[-1] > 1 << 24:
+        if len(self.keys) > self.cached or self.at[-1] > 1 << 24:
             self._clear()
         key, first, back = np.unique(K.span_hashes(data, start, end), return_index=True, return_inverse=True)
-        entry = np.array([self.index.get(h, -1) for h in key.tolist()], np.int64)
+        place = np.searchsorted(self.keys, key)
+        entry = np.full(len(key), -1, np.int64)
+        there = np.flatnonzero(place < len(self.keys))
+        there = there[self.keys[place[there]] == key[there]]
+        entry[there] = self.entry[place[there]]
         new = np.flatnonzero(entry < 0)
         if len(new):
             a, b = start[first[new]], end[first[new]]
             whole = data.tobytes()
             at = self._learn([whole[x:y].decode(errors="replace") for x, y in zip(a.tolist(), b.tolist(), strict=True)])
             entry[new] = at + np.arange(len(new))
-            short = b - a <= self.longest
-            self.index.update(zip(key[new[short]].tolist(), entry[new[short]].tolist(), strict=True))
+            short = new[b - a <= self.longest]
+            self.keys, self.entry = np.insert(self.keys, place[short], key[short]), np.insert(self.entry, place[short], entry[short])
         return entry[back]
 
     def _encoded(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Entries of all chunks of a string column, null texts empty, and n + 1 places by text."""
         if self.by_chunk:
             data, offsets = K.strings(column)
-            start, end, by_text = chunks(data, offsets)
+            start, end, by_text = chunks(data, offsets, self.special)
             return (self._entries(data, start, end) if len(start) else np.zeros(0, np.int64)), by_text
         self._clear()
         texts = [t or "" for t in column.to_pylist()]

@@ -86,7 +86,7 @@ def test_ids_of_random_texts_equal_the_library(tokenizer):
     from newsloom.llm.encoding import Encoder
 
     r = random.Random(7)
-    bits = [*" \t\n\r\x0b\x0c\x1c\x85\xa0\u1680\u180e\u2003\u200b\u2028\u202f\u205f\u2060\u3000\ufeff", *["  "] * 6, "a", "Zq", "don't", "'s", "7", "12", "\u00e9", "\u65e5\u672c", "\U0001f642", "...", "\u2019", "\u2026", "<|endoftext|>", "<|", "x" * 60]
+    bits = [*" \t\n\r\x0b\x0c\x1c\x85\xa0\u1680\u180e\u2003\u200b\u2028\u202f\u205f\u2060\u3000\ufeff", *["  "] * 6, "a", "Zq", "don't", "'s", "7", "12", "\u00e9", "\u65e5\u672c", "\U0001f642", "...", "\u2019", "\u2026", "<|endoftext|>", "<|", "x" * 60, "(", ",", "'", "ll", "re", "m", "d", "\x7f", "\x01", "-", "_"]
     own = Encoder("byte_bpe_50k.json", cached=300)
     for _ in range(30):
         texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 25))) for _ in range(60)] + [None, ""]

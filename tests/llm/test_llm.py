@@ -750,12 +750,15 @@ def test_pipeline_stages(spark, sf_dir, tokenizer):
     from newsloom.llm.scratch import Scratch
     from newsloom.llm.toxicity import fit_toxicity, held_out, toxicity
 
+    from newsloom.llm.mixing import mix
+
     scratch, docs = Scratch(spark, "t"), spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns = docs.columns
     assert [n for n, _ in C.STAGES] == ["toxicity", "near_duplicates", "substring_dedup", "mixing", "packing"]
-    kept = []
+    kept, tables = [], []
     for k, (name, stage) in enumerate(C.STAGES):
         docs = scratch.write(stage(spark, docs, sf_dir), name)
+        tables.append(docs)
         kept.append({r["doc_id"]: r for r in docs.collect()} if k < 4 else docs.collect())
         assert k == 4 or docs.columns == columns
     whole = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -773,6 +776,12 @@ def test_pipeline_stages(spark, sf_dir, tokenizer):
         else:
             assert got == kept[1][i]
     assert kept[3] == kept[2]
+    files = "doc_id", "_metadata.file_name", "_metadata.row_index"
+    order = [i for _, _, i in sorted((r[1], r[2], r[0]) for r in tables[3].select(*files).collect())]
+    assert order == [r["doc_id"] for r in mix(tables[2].select("doc_id", "source")).orderBy("mix_position").collect()]
+    opening = [r["doc_id"] for r in sorted(kept[4], key=lambda r: r["sequence_id"]) if r["offset"] == 0]
+    place = {i: k for k, i in enumerate(order)}
+    assert [place[i] for i in opening] == sorted(place[i] for i in opening)
     again = {i: k for k, i in enumerate(sorted(kept[3]))}
     rows = [{**r.asDict(), "doc_id": again[r["doc_id"]]} for r in kept[4]]
     check_packing(rows, [kept[3][i]["text"] for i in sorted(kept[3])], tokenizer)

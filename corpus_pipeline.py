@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,8 +44,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, packed into sequences of 1024 tokens."""
-    return pack(docs)
+    """The pieces of all documents, packed into sequences of 1024 tokens, which are numbered in the mixed order.
+
+    That order is the one of files and rows. Documents that come from no files
+    have none and are taken by a hash of their ids.
+    """
+    try:
+        placed = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return pack(docs)
+    return pack(placed, order=("_file", "_row"))
 
 
 STAGES = [

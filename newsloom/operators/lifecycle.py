@@ -16,6 +16,7 @@ from newsloom.operators.dedupe import hard_dedupe, new_only, with_dedupe_hash
 from newsloom.operators.stories import latest_per
 
 OFF_TOPIC, NOISE = "off topic", "relevance below cut"
+NO_URL, SUSPECT_URL = "url not resolved", "url does not fit the title"
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, update: list[str]) -> DataFrame:
@@ -53,24 +54,25 @@ def with_outlets(outlets: DataFrame, items: DataFrame, domain: str = "outlet_dom
 
 
 def ingest(raw: DataFrame, stored: DataFrame, required: list[str], penalised: list[str], cut: float = 0.35, channel: str = "press") -> DataFrame:
-    """New rows of a collection, each with an outcome: new, repeated, noise or no-url.
+    """Rows of a collection, each with an outcome: new, repeated, noise or no-url.
 
-    The cheap relevance cut comes before anything that costs; rows under it
-    are kept as discarded, with the reason. raw: gid, title, url, ...; stored:
-    channel, dedupe_hash. Noise is identified by its gid, having no URL yet.
+    The cheap relevance cut comes before anything that costs; rows under it,
+    and rows whose address is not known or does not fit (suspect_url), are kept
+    as discarded, with the reason. raw: gid, title, url, ...; stored: channel,
+    dedupe_hash. Discards are identified by their gid. Of rows with one hash
+    the first counts, by _order (if there) and gid.
     """
-    scored = raw.withColumn("channel", F.lit(channel)).withColumn("relevance", scoring.relevance("title", F.col("summary") if "summary" in raw.columns else F.lit(None).cast("string"), required, penalised))
+    text = lambda c: F.col(c) if c in raw.columns else F.lit(None).cast("string")
+    scored = raw.withColumn("channel", F.lit(channel)).withColumn("relevance", scoring.relevance("title", text("summary"), required, penalised))
     hashed = with_dedupe_hash(scored)
-    noise = F.col("relevance") < cut
-    hashed = hashed.withColumn("dedupe_hash", F.when(noise, F.sha1(F.concat(F.lit("search:"), F.col("gid")).cast("binary"))).when(F.col("url").isNotNull(), F.col("dedupe_hash")))
-    hashed = hashed.withColumn("state", F.when(noise, "discarded").otherwise("raw")).withColumn("discard_reason", F.when(noise, NOISE))
-    missing = hashed.where("dedupe_hash IS NULL").withColumn("outcome", F.lit("no-url"))
-    ready = hashed.where("dedupe_hash IS NOT NULL")
-    first = hard_dedupe(ready, ["channel", "dedupe_hash"], ["gid"])
+    noise, missing = F.col("relevance") < cut, F.col("url").isNull()
+    reason = F.when(noise, NOISE).when(missing, F.when(text("suspect_url").isNotNull(), SUSPECT_URL).otherwise(NO_URL))
+    hashed = hashed.withColumns({"discard_reason": reason, "state": F.when(reason.isNotNull(), "discarded").otherwise("raw"), "dedupe_hash": F.when(reason.isNotNull(), F.sha1(F.concat(F.lit("search:"), F.col("gid")).cast("binary"))).otherwise(F.col("dedupe_hash"))})
+    first = hard_dedupe(hashed, ["channel", "dedupe_hash"], ["_order", "gid"] if "_order" in raw.columns else ["gid"])
     known = stored.select("channel", "dedupe_hash").distinct().withColumn("_known", F.lit(True))
     told = first.join(known, ["channel", "dedupe_hash"], "left")
-    outcome = F.when(F.col("_known"), "repeated").when(F.col("state") == "discarded", "noise").otherwise("new")
-    return told.withColumn("outcome", outcome).drop("_known").unionByName(missing)
+    outcome = F.when(F.col("_known"), "repeated").when(F.col("discard_reason") == NOISE, "noise").when(F.col("discard_reason").isNotNull(), "no-url").otherwise("new")
+    return told.withColumn("outcome", outcome).drop("_known")
 
 
 def outcomes(ingested: DataFrame) -> DataFrame:
@@ -83,15 +85,16 @@ def enrich(items: DataFrame, pages: DataFrame, vocabulary: dict[str, list[str]],
 
     pages: id, error, title, summary, author, cover, published, body. Summary,
     author, cover and date fill what is missing or newer, the body is
-    replaced, the precision only rises to exact. Blocked pages are tagged by
-    the feed's text alone. Without a topic a row is discarded but keeps what
-    was extracted.
+    replaced, the precision only rises to exact. Topics come from the item's
+    title and the page's own summary, none if it has none; blocked pages are
+    tagged by the feed's summary. Without a topic a row is discarded but keeps
+    what was extracted.
     """
     p = pages.select(F.col("id").alias("_id"), *(F.col(c).alias(f"_{c}") for c in pages.columns if c != "id"))
     joined = items.join(p, items.id == p._id, "left")
     read = F.col("_id").isNotNull() & F.col("_error").isNull()
     summary = F.coalesce(F.when(read, F.col("_summary")), F.col("summary"))
-    tagged = joined.withColumn("_topics", scoring.topics("title", summary, vocabulary))
+    tagged = joined.withColumn("_topics", scoring.topics("title", F.when(read, F.col("_summary")).otherwise(F.col("summary")), vocabulary))
     off = F.lit(drop_off_topic) & (F.size("_topics") == 0)
     new = {
         "summary": summary,
@@ -108,6 +111,13 @@ def enrich(items: DataFrame, pages: DataFrame, vocabulary: dict[str, list[str]],
     return tagged.select(*kept, *(v.alias(k) for k, v in new.items()))
 
 
+def blocked_warnings(items: DataFrame, pages: DataFrame, as_of: Column) -> DataFrame:
+    """A log row of each page that could not be read."""
+    found = pages.where("error IS NOT NULL").select("id", "error").join(items.select("id", "url"), "id")
+    said = F.concat(F.lit("item "), F.col("id").cast("string"), F.lit(" blocked: "), F.col("error"), F.lit(" - "), F.coalesce(F.left("url", F.lit(120)), F.lit("")))
+    return found.select(as_of.alias("at"), F.lit("warning").alias("level"), F.lit("enrich").alias("origin"), said.alias("message"))
+
+
 def retag(items: DataFrame, vocabulary: dict[str, list[str]]) -> DataFrame:
     """Topics of all rows anew; off-topic discards come back if they have one now, others go."""
     tagged = items.withColumn("topics", scoring.topics("title", "summary", vocabulary))
@@ -131,14 +141,15 @@ def assess(items: DataFrame, scores: DataFrame, rubric_id: int, as_of: Column, o
 
     scores: mention_id, score, reason, evidence, confidence. Unknown ids are
     skipped. clamp: bring scores into 0 to 10 (the automatic path); else a
-    score outside fails the table's check.
+    score outside fails the table's check. A row's id tells item, rubric,
+    score, origin and time, so that the same score given again is another row.
     """
     text = F.concat_ws(" ", "title", "summary", "body")
     joined = scores.join(items.select(F.col("id").alias("mention_id"), text.alias("_text")), "mention_id")
     score = scoring.clamp_score("score") if clamp else F.col("score").cast("int")
     checked = joined.withColumn("_e", scoring.check_evidence("evidence", "_text", "confidence")).withColumn("score", score)
     return checked.select(
-        stable_id("mention_id", "score").alias("id"), "mention_id", F.lit(rubric_id).cast("bigint").alias("rubric_id"), "score", scoring.band("score").alias("band"), scoring.polarity("score").alias("polarity"),
+        F.xxhash64("mention_id", F.lit(rubric_id).cast("bigint"), "score", F.lit(origin), as_of).alias("id"), "mention_id", F.lit(rubric_id).cast("bigint").alias("rubric_id"), "score", scoring.band("score").alias("band"), scoring.polarity("score").alias("polarity"),
         F.substring("reason", 1, 400).alias("reason"), F.col("_e.valid").alias("evidence"), F.col("_e.confidence").alias("confidence"), F.lit(origin).alias("origin"), as_of.alias("created"),
     )
 
@@ -157,7 +168,7 @@ def auto_assess(items: DataFrame, scorer: Callable, rubric_id: int, as_of: Colum
 
     scorer: an iterator of pandas frames (id, title, summary, body) to frames
     (mention_id, score, reason, evidence, confidence, tokens_in, tokens_out,
-    error). The limit is the feature: a run's budget. Counters: ok, failed, cost.
+    error); ``prompt`` makes the texts it may send. The limit is the feature: a run's budget. Counters: ok, failed, cost.
     """
     work = items.where("assessment_id IS NULL AND state IN ('enriched', 'assessed')").orderBy(F.desc("published"), "id")
     work = (work.limit(limit) if limit else work).select("id", "title", "summary", "body")
@@ -217,6 +228,52 @@ def work_list(items: DataFrame, task: str, limit: int | None = None, retry: bool
     return found.limit(limit) if limit else found
 
 
+def follow_up(mentions: DataFrame, task: str, priority: int) -> DataFrame:
+    """Queue rows for mentions (mention_id): a task once for each."""
+    rows = mentions.select("mention_id").distinct()
+    return rows.select(F.xxhash64(F.lit(task), "mention_id").alias("id"), F.lit(task).alias("task"), "mention_id", F.lit(priority).alias("priority"), F.lit(0).alias("attempts"), F.lit(None).cast("timestamp").alias("next_at"), F.lit(None).cast("string").alias("error"))
+
+
+def cover_tasks(enriched: DataFrame, pages: DataFrame) -> DataFrame:
+    """Queue rows for covers that enrichment has found on items that stay."""
+    there = pages.where("error IS NULL AND cover IS NOT NULL").select("id")
+    return follow_up(enriched.where("state = 'enriched'").join(there, "id", "left_semi").select(F.col("id").alias("mention_id")), "cover", 4)
+
+
+def due_tasks(queue: DataFrame, as_of: Column, most_attempts: int = 6) -> DataFrame:
+    """Tasks to do now, most urgent first; those tried too often stay behind. An extension: the queue's columns declare it."""
+    ready = queue.where(F.col("next_at").isNull() | (F.col("next_at") <= as_of)).where(F.col("attempts") < most_attempts)
+    return ready.orderBy("priority", F.col("next_at").asc_nulls_first(), "id")
+
+
+def put_off(queue: DataFrame, failures: DataFrame, as_of: Column, minutes: int = 5) -> DataFrame:
+    """The queue after failures (id, error): one more attempt each, the wait doubling every time. An extension."""
+    f = failures.select(F.col("id").alias("_id"), F.col("error").alias("_error"))
+    joined = queue.join(f, queue.id == f._id, "left")
+    failed = F.col("_id").isNotNull()
+    wait = F.make_dt_interval(F.lit(0), F.lit(0), (F.lit(minutes) * F.pow(F.lit(2), F.col("attempts"))).cast("int"))
+    new = {"attempts": F.when(failed, F.col("attempts") + 1).otherwise(F.col("attempts")), "next_at": F.when(failed, as_of + wait).otherwise(F.col("next_at")), "error": F.when(failed, F.col("_error")).otherwise(F.col("error"))}
+    return joined.select(*(new.get(c, F.col(c)).alias(c) for c in queue.columns))
+
+
+def prompt(items: DataFrame, template: str, rubric: str, client: str, most: int = 6000) -> DataFrame:
+    """(id, prompt): the template with {client}, {rubric}, {title}, {outlet} and {text} filled in.
+
+    The text is the summary and, after an empty line, the first ``most``
+    characters of the body: a call's budget. Marks inside values stay as they are.
+    """
+    parts = F.split(F.lit(template), r"(?=\{(?:client|rubric|title|outlet|text)\})|(?<=\{(?:client|rubric|title|outlet|text)\})")
+    said = {"client": F.lit(client), "rubric": F.lit(rubric), "title": F.coalesce("title", F.lit("")), "outlet": F.coalesce("outlet", F.lit("unknown")), "text": F.concat(F.coalesce("summary", F.lit("")), F.lit("\n\n"), F.coalesce(F.left("body", F.lit(most)), F.lit("")))}
+
+    def fill(part: Column) -> Column:
+        out = part
+        for name, value in said.items():
+            out = F.when(part == f"{{{name}}}", value).otherwise(out)
+        return out
+
+    return items.select("id", F.array_join(F.transform(parts, fill), "").alias("prompt"))
+
+
 def run_log(runs: DataFrame) -> DataFrame:
     """One row per collection run of raw events (run_id, collector, outcome, at): found, new, status."""
     return runs.groupBy("run_id", "collector").agg(F.min("at").alias("started"), F.max("at").alias("ended"), F.count("*").alias("found"), F.count_if(F.col("outcome") == "new").alias("new")).withColumn("status", F.when(F.col("found") == 0, "failed").otherwise("ok"))

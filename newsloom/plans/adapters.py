@@ -30,7 +30,7 @@ mention AS (
     TIMESTAMP '2024-01-01 00:00:00' + to_hours(doc_id::INTEGER) AS published, CASE WHEN doc_id % 7 = 0 THEN 'approximate' ELSE 'exact' END AS published_precision,
     CASE WHEN doc_id % 11 = 0 THEN 'discarded' WHEN doc_id % 3 = 0 THEN 'raw' ELSE 'enriched' END AS state,
     CASE WHEN doc_id % 22 = 0 THEN 'relevance below cut' WHEN doc_id % 11 = 0 THEN 'off topic' END AS discard_reason,
-    CASE WHEN doc_id % 5 <> 0 THEN sha1((doc_id % 40)::VARCHAR) END AS cover_hash FROM flat),
+    CASE WHEN doc_id % 5 <> 0 THEN sha1(CASE WHEN doc_id % 2 = 0 THEN doc_id % 40 ELSE doc_id END::VARCHAR) END AS cover_hash FROM flat),
 wall AS (SELECT * FROM mention WHERE state <> 'discarded'),
 assessment AS (SELECT doc_id AS item_id, (6 * quality + 2 * (1 - toxic) + doc_id % 3)::INTEGER AS score FROM labels),
 outlet AS (SELECT DISTINCT source AS domain, CASE WHEN source = 'src0' THEN 'official' ELSE 'portal' END AS type FROM documents)"""
@@ -50,7 +50,7 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 7 == 0, "approximate").otherwise("exact").alias("published_precision"),
         F.when(i % 11 == 0, "discarded").when(i % 3 == 0, "raw").otherwise("enriched").alias("state"),
         F.when(i % 22 == 0, "relevance below cut").when(i % 11 == 0, "off topic").alias("discard_reason"),
-        F.when(i % 5 != 0, F.sha1((i % 40).cast("string").cast("binary"))).alias("cover_hash"),
+        F.when(i % 5 != 0, F.sha1(F.when(i % 2 == 0, i % 40).otherwise(i).cast("string").cast("binary"))).alias("cover_hash"),
     )
 
 

@@ -88,22 +88,6 @@ def rolling_30d(spark, d):
     return own.agg(F.count("*").alias("mentions"), report.mean2("score").alias("mean_score"), report.favourable("score").alias("favourable_pct"))
 
 
-def _replicated(spark, d):
-    """Mentions with how many share their title's first three words: a cheap stand-in for story sizes."""
-    w = A.scored_wall(spark, d).withColumn("k", F.substring_index("title", " ", 3))
-    n = w.groupBy("k").agg(F.count("*").alias("replicas"))
-    return w.join(n, "k").drop("k")
-
-
-REPLICAS = """k AS (SELECT w.*, a.score, array_to_string(string_split(title, ' ')[1:3], ' ') AS k FROM wall w LEFT JOIN assessment a ON item_id = id),
-r AS (SELECT k.*, count(*) OVER (PARTITION BY k) AS replicas FROM k)"""
-
-
-@query(f"""& {REPLICAS} SELECT row_number() OVER (ORDER BY replicas DESC, published, id)::INTEGER AS place, id FROM r ORDER BY place LIMIT 4""")
-def top_highlights(spark, d):
-    return report.highlights(_replicated(spark, d))
-
-
 @query("""SELECT id, score FROM wall JOIN assessment ON item_id = id WHERE score <= 4 ORDER BY score, published DESC, id LIMIT 1""")
 def worst_mention(spark, d):
     return A.scored_wall(spark, d).where("score <= 4").orderBy("score", F.desc("published"), "id").limit(1).select("id", "score")
@@ -140,17 +124,6 @@ def method_notes(spark, d):
     return report.method_notes(facts.crossJoin(gone)).select(F.array_join("notes", " ").alias("notes"))
 
 
-@query("""SELECT count(DISTINCT outlet || '/' || (id // 24)) AS stories FROM wall""")
-def distinct_stories(spark, d):
-    return A.wall(spark, d).agg(F.count_distinct(F.concat_ws("/", "outlet", F.expr("id div 24"))).alias("stories"))
-
-
-@query()
-def payload(spark, d):
-    items = _story_sizes(spark, d).withColumn("topics", scoring.topics("title", "summary", A.TOPICS))
-    return report.payload(items, A.outlets(spark, d), F.to_date(F.lit(AS_OF)))
-
-
 # topics and relevance
 
 def _topic_sql() -> str:
@@ -258,14 +231,39 @@ def html_title_extract(spark, d):
     return _t(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
 
 
-@query()
+def _body_sql(html_column: str) -> str:
+    """Visible text with the references that the tables hold."""
+    bare = html_column
+    for tag in html.LEFT_OUT:
+        bare = f"regexp_replace({bare}, '(?is)<{tag}[^>]*>.*?</{tag}>', ' ', 'g')"
+    inner = f"CASE WHEN regexp_matches(b, '(?is)<article[^>]*>.*?</article>') THEN regexp_extract(b, '(?is)<article[^>]*>(.*?)</article>', 1) ELSE b END"
+    said = f"regexp_replace({inner}, '<[^>]+>', ' ', 'g')"
+    for name, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", chr(34)), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"), ("&amp", "&")):
+        said = f"replace({said}, '{name}', '{char}')"
+    return f"SELECT page_id, left(trim(regexp_replace({said}, '\\s+', ' ', 'g')), 12000) AS body FROM (SELECT page_id, {bare} AS b FROM pages)"
+
+
+@query(_body_sql("html"))
 def html_body_text(spark, d):
+    """The field's first 12,000 characters, which are its definition; op2 gives whole texts."""
     return _t(spark, d, "pages").select("page_id", html.body_text("html").alias("body"))
 
 
-@query()
+LD = """<script type="application/ld+json">"""
+
+
+@query(f"""& body AS ({_body_sql("html")}), f AS (SELECT page_id, page_id % 5 AS k FROM pages)
+SELECT f.page_id, CASE k WHEN 0 THEN '2024-01-02' WHEN 1 THEN '2024-02-03' WHEN 3 THEN '2024-03-04' END AS published, CASE k WHEN 0 THEN '2024-01-05' END AS modified, CASE k WHEN 0 THEN 'Head ' || f.page_id WHEN 1 THEN 'A & B' WHEN 3 THEN 'Listed' END AS title, CASE k WHEN 1 THEN 'said' END AS summary,
+  CASE k WHEN 0 THEN 'https://x.com/a/c.png' WHEN 1 THEN 'https://x.com/img.png' WHEN 3 THEN 'https://cdn.com/1.png' END AS cover, CASE k WHEN 0 THEN 'Ana' WHEN 1 THEN 'Rui' WHEN 3 THEN 'Eva' END AS author, nullif(body, '') AS body FROM f JOIN body USING (page_id)""")
 def article_fields(spark, d):
-    return _t(spark, d, "pages").select("page_id", html.article_fields("html", "url").alias("a")).select("page_id", "a.*")
+    """Pages with what their outlets may state about them put before: structured data, meta tags of either order, lists, broken blocks, nothing."""
+    k = F.col("page_id") % 5
+    first = F.concat(F.lit(LD + '{"@graph":[{"@type":"WebSite"},{"@type":"NewsArticle","headline":"Head '), "page_id", F.lit('","datePublished":"2024-01-02","dateModified":"2024-01-05","image":{"url":"c.png"},"author":[{"name":"Ana"}]}]}</script><meta property="og:description" content="kept out">'))
+    metas = F.lit("""<meta name="viewport" content="width"><meta content='A &amp; B' property='og:title'><meta name="date" content="2024-02-03"><META NAME="description" CONTENT="said"><meta property="og:image" content="/img.png"><meta name="author" content=" Rui ">""")
+    listed = F.lit(LD + "{broken</script>" + LD + '[{"@type":["Thing","BlogPosting"],"headline":"Listed","dateCreated":"2024-03-04","description":null,"image":["//cdn.com/1.png"],"author":{"name":"Eva"}},{"@type":"Article","headline":"Second"}]</script>')
+    said = F.when(k == 0, first).when(k == 1, metas).when(k == 3, listed).otherwise("")
+    p = _t(spark, d, "pages").select("page_id", F.concat(said, "html").alias("html"))
+    return p.select("page_id", html.article_fields("html", F.lit("https://x.com/a/b")).alias("a")).select("page_id", "a.*")
 
 
 @query()
@@ -288,26 +286,55 @@ def date_parse(spark, d):
     return _t(spark, d, "documents").select("doc_id", dates.parse_date(raw).alias("p")).select("doc_id", F.to_timestamp_ntz(F.col("p.at").cast("string")).alias("at"), "p.precision")
 
 
-@query(rf"""& t AS (SELECT w.id, w.title, p.url FROM wall w JOIN pages p ON p.page_id = w.id),
+@query(rf"""& t AS (SELECT page_id AS id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, url FROM pages),
 x AS (SELECT id, list_distinct(list_filter(string_split_regex(lower(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1)), '[^a-z0-9]+'), lambda w: len(w) > 3 AND NOT regexp_matches(w, '^[0-9]+$') AND NOT list_contains([{", ".join(f"'{w}'" for w in text.GENERIC_PATH_WORDS)}], w))) AS pw, list_filter(regexp_extract_all(strip_accents(lower(title)), '[a-z0-9]+'), lambda w: len(w) > 1 AND NOT list_contains([{STOP}], w)) AS tw FROM t)
 SELECT id, len(pw) < 3 OR list_has_any(pw, tw) AS plausible FROM x""")
 def url_guard(spark, d):
-    p = _t(spark, d, "pages").select(F.col("page_id").alias("id"), "url")
-    return A.wall(spark, d).join(p, "id").select("id", text.plausible_url("title", "url").alias("plausible"))
+    p = _t(spark, d, "pages").select(F.col("page_id").alias("id"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), "url")
+    return p.select("id", text.plausible_url("title", "url").alias("plausible"))
 
 
 # stories
 
-IDF = f"""{TOKENS},
-dfq AS (SELECT w AS word, count(*) AS df FROM (SELECT id, unnest(list_distinct(w)) AS w FROM tok WHERE id IN (SELECT id FROM wall)) GROUP BY 1),
-idf AS (SELECT word, df, ln(1 + (SELECT count(*) FROM wall) / df) AS idf FROM dfq)"""
-PAIRS = f"""{IDF},
-e AS (SELECT q.id, q.published, q.word, idf.idf FROM (SELECT id, published, unnest(list_distinct(w)) AS word FROM tok WHERE id IN (SELECT id FROM wall)) q JOIN idf ON idf.word = q.word),
+def _pairs_sql(wall: str = "wall", dated: str = "") -> str:
+    """Similar pairs of a view of mentions; dated: what lets undated rows meet all others."""
+    return f"""{TOKENS},
+dfq AS (SELECT w AS word, count(*) AS df FROM (SELECT id, unnest(list_distinct(w)) AS w FROM tok WHERE id IN (SELECT id FROM {wall})) GROUP BY 1),
+idf AS (SELECT word, df, ln(1 + (SELECT count(*) FROM {wall}) / df) AS idf FROM dfq),
+e AS (SELECT q.id, q.published, q.word, idf.idf FROM (SELECT t.id, v.published, unnest(list_distinct(t.w)) AS word FROM tok t JOIN {wall} v ON v.id = t.id) q JOIN idf ON idf.word = q.word),
 ew AS (SELECT id, sum(idf) AS n FROM e GROUP BY id),
-sim AS (SELECT a.id AS a, b.id AS b, count(*) AS c, sum(a.idf) AS s FROM e a JOIN e b ON a.word = b.word AND a.id < b.id WHERE abs(epoch(a.published) - epoch(b.published)) <= 72 * 3600 GROUP BY 1, 2),
+sim AS (SELECT a.id AS a, b.id AS b, count(*) AS c, sum(a.idf) AS s FROM e a JOIN e b ON a.word = b.word AND a.id < b.id WHERE abs(epoch(a.published) - epoch(b.published)) <= 72 * 3600{dated} GROUP BY 1, 2),
 pair AS (SELECT sim.a, sim.b, s / (x.n + y.n - s) AS similarity FROM sim JOIN ew x ON x.id = sim.a JOIN ew y ON y.id = sim.b WHERE c >= 3 AND s / (x.n + y.n - s) >= 0.3)"""
 
 
+def _closure_sql(wall: str = "wall", dated: str = "") -> str:
+    return f"""{_pairs_sql(wall, dated)},
+link AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
+reach(id, r) AS (SELECT id, id FROM {wall} UNION SELECT link.b, reach.r FROM reach JOIN link ON link.a = reach.id),
+story AS (SELECT id, min(r) AS story_id FROM reach GROUP BY id)"""
+
+
+PAIRS, CLOSURE = _pairs_sql(), _closure_sql()
+IDF = PAIRS[: PAIRS.index(",\ne AS")]
+#: Every 19th mention undated.
+UNDATED = "undated AS (SELECT * REPLACE (CASE WHEN id % 19 = 0 THEN NULL ELSE published END AS published) FROM wall)"
+NO_DATE = " OR a.published IS NULL OR b.published IS NULL"
+
+
+def undated_wall(spark, d):
+    return A.wall(spark, d).withColumn("published", F.when(F.col("id") % 19 != 0, F.col("published")))
+
+
+@query(f"& {UNDATED}, {_pairs_sql('undated', NO_DATE)} SELECT a, b, round(similarity, 6) AS similarity FROM pair")
+def similar_pairs_undated(spark, d):
+    return stories.similar_pairs(undated_wall(spark, d)).withColumn("similarity", F.round("similarity", 6))
+
+
+@query(f"& {UNDATED}, {_closure_sql('undated', NO_DATE)} SELECT id, story_id FROM story")
+def story_clusters_undated(spark, d):
+    return stories.stories(undated_wall(spark, d))
+
+
 @query(f"& {IDF} SELECT word, df, round(idf, 6) AS idf FROM idf")
 def idf(spark, d):
     return stories.document_frequency(A.wall(spark, d)).select("word", "df", F.round("idf", 6).alias("idf"))
@@ -318,18 +345,10 @@ def similar_pairs_idf(spark, d):
     return stories.similar_pairs(A.wall(spark, d)).withColumn("similarity", F.round("similarity", 6))
 
 
-@query(f"""& {TOKENS}, s AS (SELECT id, list_distinct(w) AS w FROM tok WHERE id % 2 = 0), s2 AS (SELECT id, list_distinct(w) AS w FROM tok WHERE id % 2 = 1)
-SELECT a.id AS a, b.id AS b, CASE WHEN len(list_intersect(a.w, b.w)) < 3 THEN 0.0 ELSE round(len(list_intersect(a.w, b.w)) / (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w)))::DOUBLE, 6) END::DOUBLE AS similarity FROM s a JOIN s2 b ON b.id = a.id + 1""")
-def similar_pairs_jaccard(spark, d):
-    m = A.mentions(spark, d).select("id", F.array_distinct(text.title_tokens("title")).alias("w"))
-    a, b = m.where("id % 2 = 0").select(F.col("id").alias("a"), F.col("w").alias("wa")), m.where("id % 2 = 1").select(F.col("id").alias("b"), F.col("w").alias("wb"))
-    return a.join(b, F.col("b") == F.col("a") + 1).select("a", "b", F.round(text.jaccard(F.col("wa"), F.col("wb")), 6).alias("similarity"))
-
-
 @query(f"""& {TOKENS}, s AS (SELECT t.id, m.published, list_distinct(t.w) AS w FROM tok t JOIN mention m ON m.id = t.id), u AS (SELECT id, published, unnest(w) AS word FROM s),
 c AS (SELECT a.id AS a, b.id AS b, count(*) AS n FROM u a JOIN u b ON a.word = b.word AND a.id < b.id AND abs(epoch(a.published) - epoch(b.published)) <= 72 * 3600 GROUP BY 1, 2)
 SELECT a, b, round(n / (len(x.w) + len(y.w) - n)::DOUBLE, 6) AS similarity FROM c JOIN s x ON x.id = a JOIN s y ON y.id = b WHERE n >= 3""")
-def similar_pairs_jaccard_all(spark, d):
+def similar_pairs_jaccard(spark, d):
     """All pairs within 72 hours that share three words; without a threshold the word join leaves out two words of a title only."""
     m = A.mentions(spark, d)
     w = m.select("id", F.array_distinct(text.title_tokens("title")).alias("w"))
@@ -338,25 +357,13 @@ def similar_pairs_jaccard_all(spark, d):
     return both.select("a", "b", F.round(text.jaccard(F.col("wa"), F.col("wb")), 6).alias("similarity"))
 
 
-@query("""SELECT a.id AS new_id, b.id AS stored_id FROM mention a JOIN mention b ON a.id % 10 = 0 AND b.id % 10 = 1 AND abs(epoch(a.published) - epoch(b.published)) <= 72 * 3600""")
-def band_join_72h(spark, d):
-    m = A.mentions(spark, d)
-    return stories.band_join(m.where("id % 10 = 0"), m.where("id % 10 = 1"))
-
-
 @query("""SELECT b.id AS new_id, a.id AS stored_id FROM mention a JOIN mention b ON a.id < b.id AND abs(epoch(a.published) - epoch(b.published)) <= 72 * 3600""")
-def band_join_72h_all(spark, d):
+def band_join_72h(spark, d):
     """The band join over the whole table: every row against all of smaller ids."""
     m = A.mentions(spark, d)
     return stories.band_join(m, m).where("stored_id < new_id")
 
 
-CLOSURE = f"""{PAIRS},
-link AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
-reach(id, r) AS (SELECT id, id FROM wall UNION SELECT link.b, reach.r FROM reach JOIN link ON link.a = reach.id),
-story AS (SELECT id, min(r) AS story_id FROM reach GROUP BY id)"""
-
-
 @query(f"& {CLOSURE} SELECT id, story_id FROM story")
 def story_clusters(spark, d):
     return stories.stories(A.wall(spark, d))
@@ -373,12 +380,12 @@ def _story_sizes(spark, d):
 
 @query(f"""& {CLOSURE}, size AS (SELECT story_id, count(*) AS replicas FROM story GROUP BY 1), r AS (SELECT w.id, w.published, size.replicas FROM wall w JOIN story ON story.id = w.id JOIN size USING (story_id))
 SELECT row_number() OVER (ORDER BY replicas DESC, published, id)::INTEGER AS place, id FROM r ORDER BY place LIMIT 4""")
-def top_highlights_by_story(spark, d):
+def top_highlights(spark, d):
     return report.highlights(_story_sizes(spark, d))
 
 
 @query(f"& {CLOSURE} SELECT count(DISTINCT story_id) AS stories FROM story")
-def distinct_story_clusters(spark, d):
+def distinct_stories(spark, d):
     return stories.stories(A.wall(spark, d)).agg(F.count_distinct("story_id").alias("stories"))
 
 
@@ -395,12 +402,16 @@ def cluster_mean_score(spark, d):
     return stories.stories(w).join(w.select("id", "score"), "id").groupBy("story_id").agg(F.count("score").alias("scored"), F.round(F.avg("score"), 6).alias("mean_score"))
 
 
-@query()
+@query(f"""& held AS (SELECT * FROM wall WHERE id % 4 <> 0), {_closure_sql('held')}, w AS (SELECT t.id, v.published, list_distinct(t.w) AS w FROM tok t JOIN wall v ON v.id = t.id),
+u AS (SELECT id, published, unnest(w) AS word FROM w), c AS (SELECT a.id, b.id AS sid, count(*) AS n FROM u a JOIN u b ON a.word = b.word AND a.id % 4 = 0 AND b.id % 4 <> 0 AND abs(epoch(a.published) - epoch(b.published)) <= 72 * 3600 GROUP BY 1, 2),
+s AS (SELECT c.id, sid, n / (len(x.w) + len(y.w) - n) AS sim FROM c JOIN w x ON x.id = c.id JOIN w y ON y.id = sid WHERE n >= 3 AND n / (len(x.w) + len(y.w) - n) >= 0.3),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY id ORDER BY sim DESC, sid) = 1)
+SELECT wall.id, coalesce(story.story_id, wall.id) AS story_id FROM wall LEFT JOIN best ON best.id = wall.id LEFT JOIN story ON story.id = best.sid WHERE wall.id % 4 = 0""")
 def online_assignment(spark, d):
+    """A quarter of the wall is new, the rest is stored: every row is one or the other."""
     w = A.wall(spark, d)
     old = w.where("id % 4 <> 0")
-    stored = old.join(stories.stories(old), "id")
-    return stories.assign_online(w.where("id % 4 = 0"), stored)
+    return stories.assign_online(w.where("id % 4 = 0"), old.join(stories.stories(old), "id"))
 
 
 # joins, windows, sets
@@ -507,7 +518,12 @@ def alerts_sensitive(spark, d):
     return report.alerts(A.scored_wall(spark, d), A.topic_bridge(spark, d), "tenders")
 
 
-@query("""SELECT count(*) AS n, sha256(string_agg(sha256(id || '|' || coalesce(score::VARCHAR, '-')), '' ORDER BY id)) AS hash FROM wall LEFT JOIN assessment ON item_id = id""")
+def _tree_sql(levels: int = 6) -> str:
+    steps = "".join(f", t{k} AS (SELECT id // 1000 AS id, sha256(string_agg(h, '' ORDER BY id)) AS h FROM t{k - 1} GROUP BY 1)" for k in range(1, levels + 1))
+    return f"& t0 AS (SELECT id, sha256(id || '|' || coalesce(score::VARCHAR, '-')) AS h FROM wall LEFT JOIN assessment ON item_id = id){steps} SELECT (SELECT count(*) FROM t0) AS n, sha256(string_agg(h, '' ORDER BY id)) AS hash FROM t{levels}"
+
+
+@query(_tree_sql())
 def edition_hash(spark, d):
     return report.edition(A.scored_wall(spark, d).select("id", "score"))
 
@@ -563,12 +579,34 @@ def collection_outcomes(spark, d):
     return lifecycle.outcomes(lifecycle.ingest(raw, stored, A.REQUIRED, A.PENALISED))
 
 
-@query("""SELECT m.id, CASE WHEN m.id % 2 = 0 THEN left(m.body, 20) ELSE m.summary END AS summary, CASE WHEN m.id % 4 = 0 THEN 'exact' ELSE m.published_precision END AS precision FROM mention m""")
-def enrich(spark, d):
+def _pages_of(m: DataFrame) -> DataFrame:
+    """What the pages of even mentions say: every 6th is blocked, every 10th has no summary, every 4th is dated."""
+    i = F.col("id")
+    said = lambda c: F.when(i % 6 != 0, c)
+    return m.where("id % 2 = 0").select(
+        "id", F.when(i % 6 == 0, "http 403").alias("error"), said(F.col("title")).alias("title"), said(F.when(i % 10 != 0, F.left("body", F.lit(200)))).alias("summary"), said(F.when(i % 8 != 0, F.lit("x"))).alias("author"),
+        said(F.when(i % 14 != 0, F.concat(F.lit("c"), i.cast("string")))).alias("cover"), said(F.when(i % 4 == 0, F.col("published") + F.expr("INTERVAL 1 HOUR"))).alias("published"), said(F.left("body", F.lit(300))).alias("body"),
+    )
+
+
+ENRICH = f"""m2 AS (SELECT *, CASE WHEN id % 2 = 0 AND id % 6 <> 0 THEN 'read' WHEN id % 2 = 0 THEN 'blocked' END AS page FROM mention),
+wall2 AS (SELECT id, title, CASE WHEN page = 'read' THEN CASE WHEN id % 10 <> 0 THEN left(body, 200) END ELSE summary END AS summary FROM m2),
+{TOPIC.replace('FROM wall)', 'FROM wall2)').replace('strip_accents(lower(summary))', "coalesce(strip_accents(lower(summary)), '')")},
+tags AS (SELECT id, string_agg(topic, ',' ORDER BY position) AS topics FROM topic GROUP BY id),
+enriched AS (SELECT m2.id, page, CASE WHEN page = 'read' AND m2.id % 10 <> 0 THEN left(body, 200) ELSE summary END AS summary, CASE WHEN page = 'read' AND m2.id % 8 <> 0 THEN 'x' END AS author, CASE WHEN page = 'read' AND m2.id % 14 <> 0 THEN 'c' || m2.id END AS cover_url,
+  CASE WHEN page = 'read' AND m2.id % 4 = 0 THEN published + INTERVAL 1 HOUR ELSE published END AS published, CASE WHEN page = 'read' AND m2.id % 4 = 0 THEN 'exact' ELSE published_precision END AS precision, CASE WHEN page = 'read' THEN left(body, 300) ELSE body END AS body,
+  CASE WHEN page IS NULL THEN state WHEN topics IS NULL THEN 'discarded' ELSE 'enriched' END AS state, CASE WHEN page IS NULL THEN discard_reason WHEN topics IS NULL THEN 'off topic' END AS reason, CASE WHEN page IS NOT NULL THEN coalesce(topics, '') END AS topics FROM m2 LEFT JOIN tags ON tags.id = m2.id)"""
+
+
+def _enriched(spark, d):
     m = A.mentions(spark, d).withColumns({"author": F.lit(None).cast("string"), "cover_url": F.lit(None).cast("string")})
-    pages = m.where("id % 2 = 0").select("id", F.lit(None).cast("string").alias("error"), "title", F.left("body", F.lit(20)).alias("summary"), F.lit("x").alias("author"), F.lit(None).cast("string").alias("cover"), F.when(F.col("id") % 4 == 0, F.col("published")).alias("published"), "body")
-    out = lifecycle.enrich(m, pages, A.TOPICS)
-    return out.select("id", "summary", F.col("published_precision").alias("precision"))
+    return m, _pages_of(m), lifecycle.enrich(m, _pages_of(m), A.TOPICS)
+
+
+@query(f"& {ENRICH} SELECT id, summary, author, cover_url, published, precision, md5(body) AS body, state, reason, topics FROM enriched")
+def enrich(spark, d):
+    out = _enriched(spark, d)[2]
+    return out.select("id", "summary", "author", "cover_url", F.to_timestamp_ntz(F.col("published").cast("string")).alias("published"), F.col("published_precision").alias("precision"), F.md5(F.col("body").cast("binary")).alias("body"), "state", F.col("discard_reason").alias("reason"), F.array_join("topics", ",").alias("topics"))
 
 
 @query("""SELECT item_id AS mention_id, score, CASE WHEN score >= 7 THEN 'positive' WHEN score >= 5 THEN 'neutral' ELSE 'negative' END AS polarity, 'low' AS confidence FROM assessment JOIN wall ON id = item_id""")
@@ -577,7 +615,7 @@ def assess(spark, d):
     return lifecycle.assess(A.wall(spark, d), scores, 1, F.lit("2024-02-15").cast("timestamp")).select("mention_id", "score", "polarity", "confidence")
 
 
-@query()
+@query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedupe(spark, d):
     """Events once by (user, type), by a stream over the landed table run to its end."""
     import uuid
@@ -597,3 +635,6 @@ def segment_totals(spark, d):
     o, c, n = _t(spark, d, "orders"), _t(spark, d, "customer"), _t(spark, d, "nation")
     joined = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
     return joined.groupBy("c_mktsegment", "n_name").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+from newsloom.plans import monitoring  # noqa: E402, F401  its queries register themselves

@@ -85,6 +85,73 @@ def discards(items: DataFrame) -> DataFrame:
     return gone.agg(F.count_if(F.col("discard_reason").startswith("relev")).alias("noise"), F.count_if(F.col("discard_reason") == "off topic").alias("off_topic"), F.count("*").alias("discarded"))
 
 
+def top_stories(rolled: DataFrame, top: int = 5) -> DataFrame:
+    """The stories with most re-publications, more than one each."""
+    return rolled.where("n_mentions > 1").orderBy(F.desc("n_mentions"), "story_id").limit(top).select("story_id", "canonical_title", "n_mentions")
+
+
+def origin_counts(assessments: DataFrame) -> DataFrame:
+    """Assessments given by hand, and all."""
+    return assessments.agg(F.count_if(F.col("origin") == "human").alias("human"), F.count("*").alias("assessments"))
+
+
+def failed_runs(runs: DataFrame) -> DataFrame:
+    """Runs that failed or came back in part."""
+    return runs.agg(F.count_if(F.col("status").isin("failed", "partial")).alias("failed_runs"))
+
+
+def state_report(items: DataFrame, outlets: DataFrame, rolled: DataFrame) -> dict[str, DataFrame]:
+    """The engine's state: counts of the wall, all rows by state, the largest outlets and stories."""
+    wall = items.where("state <> 'discarded'")
+    return {
+        "counts": status_counts(wall).crossJoin(items.agg(F.count("*").alias("scanned"))).crossJoin(rolled.agg(F.count("*").alias("stories"))),
+        "states": items.groupBy("state").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "state"),
+        "outlets": outlet_ranking(wall, outlets),
+        "stories": top_stories(rolled),
+    }
+
+
+def wall_view(mentions: DataFrame, membership: DataFrame, assessments: DataFrame, covers: DataFrame) -> DataFrame:
+    """Mentions of the wall with their story's size, current assessment and cover's preview, newest first.
+
+    membership: id, story_id; assessments: id, score, reason, polarity, by the
+    mention's pointer; covers: hash, preview. All three may lack a row.
+    """
+    sizes = membership.groupBy("story_id").agg(F.count("*").alias("replicas"))
+    story = membership.join(sizes, "story_id")
+    a = assessments.select(F.col("id").alias("assessment_id"), "score", "reason", "polarity")
+    c = covers.select(F.col("hash").alias("cover_hash"), "preview")
+    joined = mentions.where("state <> 'discarded'").join(story, "id", "left").join(a, "assessment_id", "left").join(c, "cover_hash", "left")
+    return joined.orderBy(F.desc("published"), "id")
+
+
+def goal(items: DataFrame, least: int = 75) -> DataFrame:
+    """The favourable percent and whether it meets the goal; null without scores."""
+    return kpis(items).select("favourable_pct", (F.col("favourable_pct") >= least).alias("met"))
+
+
+def story_facts(membership: DataFrame, topics: DataFrame, reach: DataFrame) -> DataFrame:
+    """Of each story, the topic with most confidence over its mentions and the reach of their outlets. An extension.
+
+    topics: id, topic, confidence; reach: id, reach (null: not known). Ties
+    go to the first topic by name; a story without topics has a null one.
+    """
+    sums = membership.join(topics, "id").groupBy("story_id", "topic").agg(F.sum("confidence").alias("c"))
+    main = sums.groupBy("story_id").agg(F.min_by("topic", F.struct(-F.col("c"), "topic")).alias("main_topic"))
+    total = membership.join(reach, "id", "left").groupBy("story_id").agg(F.sum("reach").alias("summed_reach"))
+    return total.join(main, "story_id", "left").select("story_id", "main_topic", "summed_reach")
+
+
+def latest_rubric(rubrics: DataFrame) -> DataFrame:
+    """The rubric of the greatest id."""
+    return rubrics.agg(F.max_by(F.struct("version", "title", "model"), "id").alias("r")).where("r IS NOT NULL").select("r.*")
+
+
+def active_topics(topics: DataFrame) -> DataFrame:
+    """Active topics in their configured order."""
+    return topics.where("active").orderBy("position", "slug")
+
+
 def failed_hosts(runs: DataFrame) -> DataFrame:
     """Sorted hosts of failed feeds, from the runs' JSON parameters, as one text."""
     host = F.regexp_extract(F.get_json_object("params", "$.feed"), r"^(?:[^/]*//)?([^/]+)", 1)
@@ -117,27 +184,38 @@ def method_notes(facts: DataFrame) -> DataFrame:
     return facts.select(F.filter(notes, lambda x: x.isNotNull()).alias("notes"))
 
 
-def payload(items: DataFrame, outlets: DataFrame, as_of: Column) -> DataFrame:
-    """The published document: one row with one JSON text.
+def short_items(items: DataFrame) -> DataFrame:
+    """Items under the payload's short keys: id, t, v, d, p, n, r, e."""
+    return items.select("id", F.col("title").alias("t"), F.col("outlet").alias("v"), F.date_format("published", "yyyy-MM-dd'T'HH:mm:ss").alias("d"), F.col("published_precision").alias("p"), F.col("score").alias("n"), F.coalesce(F.nullif("replicas", F.lit(0)), F.lit(1)).alias("r"), F.col("topics").alias("e"))
 
-    Series, KPIs and summaries are aggregates of a few rows; the list of items
-    is collected into the document, as the reader loads it whole.
-    """
-    short = F.struct(F.col("id"), F.col("title").alias("t"), F.col("outlet").alias("v"), F.date_format("published", "yyyy-MM-dd'T'HH:mm:ss").alias("d"), F.col("published_precision").alias("p"), F.col("score").alias("n"), F.coalesce(F.nullif("replicas", F.lit(0)), F.lit(1)).alias("r"), F.col("topics").alias("e"))
-    listed = items.agg(F.reverse(F.array_sort(F.collect_list(F.struct("published", "id", short.alias("x"))))).alias("l")).select(F.transform("l", lambda x: x["x"]).alias("items"))
+
+def payload_head(items: DataFrame, outlets: DataFrame, as_of: Column) -> DataFrame:
+    """The published document without its items: one row of kpi, days, outlets, week and month, each a few rows large."""
     series = daily_series(items, as_of).agg(F.array_sort(F.collect_list(F.struct("day", "n", "mean_score"))).alias("days"))
     used = outlets.join(items.select(F.col("outlet").alias("domain")).distinct(), "domain", "left_semi").agg(F.array_sort(F.collect_list(F.struct("domain", "type"))).alias("outlets"))
-    kpi = kpis(items).select(F.struct("*").alias("kpi"))
+    whole = kpis(items).select(F.struct("*").alias("kpi"))
     last = period(items, as_of).first()["last"]
     week, month = (summary(items, F.lit(last), n).select(F.struct("*").alias(name)) for n, name in ((7, "week"), (30, "month")))
-    whole = kpi
-    for part in (listed, series, used, week, month):
+    for part in (series, used, week, month):
         whole = whole.crossJoin(F.broadcast(part))  # one row each
-    return whole.select(F.to_json(F.struct("kpi", "days", "outlets", "week", "month", "items")).alias("payload"))
+    return whole
+
+
+def payload(items: DataFrame, outlets: DataFrame, as_of: Column) -> DataFrame:
+    """The published document with all items in it: one row with one JSON text.
+
+    A reader loads it whole, so it is for walls of a browser's size; ``publish``
+    writes items of any number beside a small document.
+    """
+    short = short_items(items).select(F.struct("*").alias("x"))
+    held = short.agg(F.reverse(F.array_sort(F.collect_list(F.struct("x.d", "x.id", "x")))).alias("l")).select(F.transform("l", lambda r: r["x"]).alias("items"))
+    return payload_head(items, outlets, as_of).crossJoin(F.broadcast(held)).select(F.to_json(F.struct("kpi", "days", "outlets", "week", "month", "items")).alias("payload"))
 
 
 def publish(items: DataFrame, outlets: DataFrame, as_of: Column, path: str) -> None:
-    payload(items, outlets, as_of).coalesce(1).write.mode("overwrite").text(path)
+    """The document's head as one JSON file below ``path``/head, its items as JSON lines, newest first, below ``path``/items."""
+    payload_head(items, outlets, as_of).select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/head")
+    short_items(items).orderBy(F.desc("d"), "id").write.mode("overwrite").json(f"{path}/items")
 
 
 # Declared by the data model, computed nowhere before: extensions.
@@ -171,12 +249,21 @@ def term_occurrences(items: DataFrame, terms: DataFrame) -> DataFrame:
     return found.select("id", "term", n.alias("occurrences")).where("occurrences > 0")
 
 
-def edition(items: DataFrame) -> DataFrame:
-    """(n, hash) of a frozen edition: sha256 over its rows in id order, by way of a hash for each row."""
-    row = F.sha2(F.concat_ws("|", "id", F.coalesce(F.col("score").cast("string"), F.lit("-"))), 256)
-    rows = items.select("id", row.alias("h"))
-    # a row's part is 32 bytes; an edition holds what one issue prints
-    return rows.agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("id", "h"))).alias("l")).select("n", F.sha2(F.array_join(F.transform("l", lambda x: x["h"]), ""), 256).alias("hash"))
+def edition(items: DataFrame, width: int = 1000) -> DataFrame:
+    """(n, hash) of a frozen edition: a tree of sha256 over its rows in id order.
+
+    A row's hash is of id and score; the hashes of each run of ``width`` ids
+    are hashed together, then those of each run of as many runs, and so on
+    until one is left. So no task holds more than ``width`` hashes at a time.
+    Ids are unique; an empty edition hashes the empty text.
+    """
+    level = items.select("id", F.sha2(F.concat_ws("|", "id", F.coalesce(F.col("score").cast("string"), F.lit("-"))), 256).alias("h"))
+    n = level.agg(F.count("*").alias("n"))
+    for _ in range(6):  # width^6 covers all ids of any use
+        level = level.groupBy(F.expr(f"id div {width}").alias("run")).agg(F.array_sort(F.collect_list(F.struct("id", "h"))).alias("l"))
+        level = level.select(F.col("run").alias("id"), F.sha2(F.array_join(F.transform("l", lambda x: x["h"]), ""), 256).alias("h"))
+    top = level.agg(F.array_sort(F.collect_list(F.struct("id", "h"))).alias("l"))  # ids beyond width^6, and a negative run
+    return n.crossJoin(F.broadcast(top.select(F.sha2(F.array_join(F.transform("l", lambda x: x["h"]), ""), 256).alias("hash"))))
 
 
 def alerts(items: DataFrame, topics: DataFrame, topic: str, most: int = 5) -> DataFrame:

@@ -14,6 +14,12 @@ def read_config(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "value"))
 
 
+def config_value(config: DataFrame, key: str, ddl: str):
+    """One entry of read_config, decoded by its DDL; None if it is not there."""
+    found = config.where(F.col("key") == key).select(F.from_json("value", ddl).alias("v")).first()
+    return found["v"] if found else None
+
+
 def seed_vocabulary(spark: SparkSession, vocabulary: dict[str, list[str]]) -> DataFrame:
     """(topic, topic_position, word, word_position) in the order of the dictionary, which breaks ties."""
     rows = [(t, i, w, j) for i, (t, ws) in enumerate(vocabulary.items()) for j, w in enumerate(ws)]
@@ -47,11 +53,22 @@ def export_jsonl(tables: dict[str, DataFrame], path: str, drop: tuple[str, ...]
         lines.write.mode("overwrite").text(path)
 
 
-def import_jsonl(spark: SparkSession, path: str, schemas: dict[str, str] | None = None, keys: dict[str, list[str]] | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+def export_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, rows) of an export."""
+    out = None
+    for name, df in tables.items():
+        own = df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def import_jsonl(spark: SparkSession, path: str, schemas: dict[str, str] | None = None, keys: dict[str, list[str]] | None = None, later: F.Column | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """(table by name, rejected lines).
 
     A line of an unknown table, of broken JSON or with values that a table
-    does not allow is rejected. Of lines with equal keys the last one stays.
+    does not allow is rejected. Of lines with equal keys the last one stays;
+    ``later``, an expression over the parsed line r, tells the last one where
+    the order of files does not.
     """
     schemas = schemas or TABLES
     lines = spark.read.text(path).where("trim(value) <> ''").withColumn("_at", F.monotonically_increasing_id())  # order within this read only
@@ -62,7 +79,8 @@ def import_jsonl(spark: SparkSession, path: str, schemas: dict[str, str] | None
         own = named.where(F.col("_t") == name).withColumn("r", F.from_json("value", f"{ddl}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}))
         broken = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
         rejected = rejected.unionByName(own.where(broken).select("value"))
-        rows = own.where(~broken).select("value", "_at", "r.*").drop("_corrupt")
+        at = F.struct(later.alias("l"), "_at").alias("_at") if later is not None else F.col("_at")
+        rows = own.where(~broken).select("value", at, "r.*").drop("_corrupt")
         valid, bad = split_valid(rows, name)
         rejected = rejected.unionByName(bad.select("value"))
         columns = [f.split()[0] for f in _fields(ddl)]
@@ -103,30 +121,3 @@ def covers_to_copy(wanted: DataFrame, present: DataFrame) -> DataFrame:
 def log_line(spark: SparkSession, as_of: F.Column, level: str, origin: str, message: str) -> DataFrame:
     """One row for the log table."""
     return spark.range(1).select(as_of.alias("at"), F.lit(level).alias("level"), F.lit(origin).alias("origin"), F.lit(message).alias("message"))
-
-
-def fetched(requests: DataFrame, fetch, partitions: int | None = None) -> DataFrame:
-    """Pages by a given ``fetch`` (url -> (status, bytes)), each host's requests in one task so that it can be spared.
-
-    The engine itself opens no connection: ``fetch`` is the caller's, and
-    errors become status 0.
-    """
-    from newsloom.functions.text import host_of
-
-    dealt = requests.select("id", "url").withColumn("_host", host_of("url"))
-    dealt = dealt.repartition(partitions, "_host") if partitions else dealt.repartition("_host")
-
-    def run(frames):
-        import pandas as pd
-
-        for frame in frames:
-            out = []
-            for i, url in zip(frame["id"], frame["url"], strict=True):
-                try:
-                    status, body = fetch(url)
-                except Exception:  # noqa: BLE001  a failed request is a row like any other
-                    status, body = 0, b""
-                out.append((i, url, status, body if status == 200 else b""))
-            yield pd.DataFrame(out, columns=["id", "url", "status", "content"])
-
-    return dealt.mapInPandas(run, "id bigint, url string, status int, content binary")

@@ -115,16 +115,6 @@ def test_resolver_matches_by_index(spark):
     assert rows == {"a": ("https://x/1", None), "b": (None, "https://x/second-story-about-boats"), "c": (None, None)}
 
 
-def test_fetch_errors_are_rows(spark):
-    def fetch(url):
-        if "bad" in url:
-            raise OSError
-        return (200, b"ok") if "good" in url else (404, b"gone")
-
-    got = files.fetched(spark.createDataFrame([(1, "https://good/"), (2, "https://bad/"), (3, "https://x/")], "id bigint, url string"), fetch)
-    assert {r["id"]: (r["status"], bytes(r["content"])) for r in got.collect()} == {1: (200, b"ok"), 2: (0, b""), 3: (404, b"")}
-
-
 def test_series_and_empty_reports(spark):
     schema = "id bigint, title string, outlet string, published timestamp, published_precision string, score int, cover_hash string"
     rows = spark.createDataFrame([(1, "t", "o", AT, "exact", 7, None), (2, "t", "o", AT + dt.timedelta(days=2), "exact", None, None)], schema)

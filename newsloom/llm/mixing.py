@@ -72,7 +72,15 @@ def target_weights(counts: dict, power: float = 0.7) -> dict:
     return {s: float(n) ** power for s, n in counts.items()}
 
 
-def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = 16, most_blocks: int = 1 << 18, power: float = 0.7, rows_per_part: int = 50_000, most_sources: int = 100_000) -> DataFrame:
+def source_counts(docs: DataFrame, source_col: str = "source", most_sources: int = 100_000) -> dict:
+    """The number of rows of each source; ValueError if there are more than ``most_sources``, since such a column names no sources to mix."""
+    found = docs.groupBy(source_col).count().limit(most_sources + 1).collect()
+    if len(found) > most_sources:
+        raise ValueError(f"column {source_col} has more than {most_sources} values")
+    return {r[source_col]: r["count"] for r in found}
+
+
+def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = 16, most_blocks: int = 1 << 18, power: float = 0.7, rows_per_part: int = 8192, most_sources: int = 100_000, counts: dict | None = None) -> DataFrame:
     """All rows, with mix_position (from 0, gapless) in an order that keeps to the weights.
 
     A source's rows, in the order of an id hash, are cut into blocks of
@@ -83,18 +91,14 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
     others. Without weights: sizes raised to ``power``. No row is dropped or
     repeated.
 
-    The driver sees the number of rows of each source; more than
-    ``most_sources`` sources are an error (ValueError), since such a column
-    names no sources to mix. Rows of a hot source are ranked by many tasks. A
-    null source is a source of its own; sources without a positive given weight
+    The driver sees the number of rows of each source (``counts``, if known;
+    see source_counts). Rows of a hot source are ranked by many tasks, about
+    ``rows_per_part`` in each. A null source is a source of its own; sources without a positive given weight
     get the smallest one given. Null ids and repeated rows keep their places.
     An empty table gives an empty one. A column mix_position is replaced.
     """
     spark = docs.sparkSession
-    found = docs.groupBy(source_col).count().limit(most_sources + 1).collect()
-    if len(found) > most_sources:
-        raise ValueError(f"column {source_col} has more than {most_sources} values")
-    counts = {r[source_col]: r["count"] for r in found}
+    counts = source_counts(docs, source_col, most_sources) if counts is None else counts
     if weights is None:
         weights = target_weights(counts, power)
     good = [float(w) for w in weights.values() if w and w > 0]
@@ -123,7 +127,7 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
     return out.select(*[F.col(f"`{c}`") for c in docs.columns if c != "mix_position"], "mix_position")
 
 
-def mixed_rows(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", rows_per_part: int = 50_000, **more) -> DataFrame:
+def mixed_rows(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", rows_per_file: int = 50_000, **more) -> DataFrame:
     """All rows of docs, with its columns, in the mixed order from part to part and file to file.
 
     As ``mix``. Parts are consecutive runs of positions, so no sampling is
@@ -146,9 +150,10 @@ def mixed_rows(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_
 
     run, ddl = on_text("squeeze", "binary")
     small = docs.mapInArrow(run, ddl(docs))
-    mixed = mix(small, weights, id_col, source_col, rows_per_part=rows_per_part, **more)
-    total = docs.count()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_part))
+    counts = source_counts(docs, source_col)
+    mixed = mix(small, weights, id_col, source_col, counts=counts, **more)
+    total = sum(counts.values())
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_file))
     dealt = mixed.repartitionById(parts, F.floor(F.col("mix_position") * parts / max(1, total)).cast("int")).sortWithinPartitions("mix_position").drop("mix_position")
     run, ddl = on_text("unsqueeze_nulls", "string")
     return dealt.mapInArrow(run, ddl(dealt))

@@ -137,7 +137,7 @@ def plan(counts: dict[int, int], size: int = 1024) -> list[tuple[tuple[int, ...]
     return out
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = BYTE_BPE, end_id: int = 2, size: int = 1024, path: str | None = None, rows_per_part: int = 50_000, order: tuple[str, str] | None = None) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = BYTE_BPE, end_id: int = 2, size: int = 1024, path: str | None = None, rows_per_part: int = 8192, order: tuple[str, str] | None = None) -> DataFrame:
     """Every piece with sequence_id and offset: its sequence and place there.
 
     The counts by length (``size`` numbers at most) are all that the driver

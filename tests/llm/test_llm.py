@@ -516,6 +516,19 @@ def test_repeats_against_all_windows(spark, seed):
             assert hashlib.sha256(got[i]["kept"].encode()).hexdigest() == want[2]
 
 
+@pytest.mark.parametrize("window, lengths", [(20, [10]), (40, [10, 20]), (80, [10, 20, 40]), (30, [15]), (6, [3])])
+def test_repeats_level_by_level(spark, window, lengths):
+    from newsloom.llm.substring_dedup import levels, remove_repeats
+
+    assert levels(window) == lengths
+    texts = prose(60, 3, words=25, high=200) + ["loop a b " * 60, "x " * 190, "x " * 200, None, ""]
+    got = {r["doc_id"]: r for r in remove_repeats(docs_of(spark, texts), window=window).collect()}
+    for i, want in enumerate(repeats_brute(texts, window)):
+        assert (got[i]["n_words"], got[i]["n_removed"], got[i]["kept_sha256"]) == want
+    alone = [" ".join(f"w{i}x{k}" for k in range(150)) for i in range(5)]
+    assert all(r["n_removed"] == 0 and r["n_words"] == 150 for r in remove_repeats(docs_of(spark, alone), window=window).collect())
+
+
 def test_repeats_edges(spark):
     from newsloom.llm.substring_dedup import remove_repeats
 

@@ -34,6 +34,11 @@ def relevance(title: Column | str, summary: Column | str, required: list[str], p
     return F.when(anywhere, F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))).otherwise(F.lit(0.0))
 
 
+def once(value: Column, use) -> Column:
+    """use(value), the value being computed once however often it is used, also in branches."""
+    return F.transform(F.array(value), use)[0]
+
+
 def word_pattern(word: str) -> str:
     """A word and up to three more letters, at word boundaries."""
     return rf"(?U)\b{re.escape(folded(word))}\w{{0,3}}\b"
@@ -45,14 +50,19 @@ def topic_weights(title: Column | str, summary: Column | str, vocabulary: dict[s
     A word counts 1.0 in the title, else 0.5 in the summary; ties keep the
     vocabulary's order. The body is not read: it carries menus and teasers.
     """
-    t, s = fold(F.coalesce(_c(title), F.lit(""))), fold(F.coalesce(_c(summary), F.lit("")))
-    found = []
-    for place, (topic, words) in enumerate(vocabulary.items()):
-        weight = F.lit(0.0)
-        for w in words:
-            weight = weight + F.when(t.rlike(word_pattern(w)), F.lit(1.0)).when(s.rlike(word_pattern(w)), F.lit(0.5)).otherwise(F.lit(0.0))
-        found.append(F.struct((-weight).alias("order"), F.lit(place).alias("place"), F.lit(topic).alias("topic"), weight.alias("weight")))
-    kept = F.array_sort(F.filter(F.array(*found), lambda x: x["weight"] >= 0.9))
+
+    def of(folded_texts: Column) -> Column:
+        t, s = folded_texts["t"], folded_texts["s"]
+        found = []
+        for place, (topic, words) in enumerate(vocabulary.items()):
+            weight = F.lit(0.0)
+            for w in words:
+                weight = weight + F.when(t.rlike(word_pattern(w)), F.lit(1.0)).when(s.rlike(word_pattern(w)), F.lit(0.5)).otherwise(F.lit(0.0))
+            found.append(F.struct((-weight).alias("order"), F.lit(place).alias("place"), F.lit(topic).alias("topic"), weight.alias("weight")))
+        return F.array(*found)
+
+    texts = F.struct(fold(F.coalesce(_c(title), F.lit(""))).alias("t"), fold(F.coalesce(_c(summary), F.lit(""))).alias("s"))
+    kept = F.array_sort(F.filter(once(texts, of), lambda x: x["weight"] >= 0.9))
     return F.transform(kept, lambda x, i: F.struct(x["topic"].alias("topic"), x["weight"].alias("weight"), i.alias("position")))
 
 

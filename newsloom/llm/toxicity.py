@@ -178,14 +178,16 @@ class KneserNey:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.means(*tokens(texts)) + self.offset, -30, 30)))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 2500) -> KneserNey:
-    """A model of labelled rows, of which it takes ``per_class`` of each class at most.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 2500, class_bytes: int = 64_000_000) -> KneserNey:
+    """A model of labelled rows, of which it takes ``per_class`` ids of each class at most, and ``class_bytes`` of their texts.
 
-    The bound holds what the driver collects; the rows are those of smallest
-    id hash, so the sample is the same every time. Rows with null ids, labels
+    The bounds hold what the driver collects; the rows are those of smallest
+    id hash, so the sample is the same every time. A text that would pass the
+    second bound is left out whole; a class of which none fits gives its shortest. Rows with null ids, labels
     or texts are left out; an id labelled both ways counts as toxic. Without rows
     of both classes the model is neutral.
     """
+    spark = docs.sparkSession
     known = labels.select(labels[id_col].alias("_id"), labels[label_col].cast("int").alias("_toxic")).where("_id IS NOT NULL AND _toxic IN (0, 1)")
     known = known.groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
     sizes = {r["_toxic"]: r["count"] for r in known.groupBy("_toxic").count().collect()}
@@ -206,8 +208,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                 found, at = tokens(part.column("_text"))
                 yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_toxic"), K.list_column(K.signed(found), at, pa.int64())], names=["_id", "_toxic", "words"])
 
-    # bounded by per_class; texts are cut into words where they are
-    rows = texts.join(F.broadcast(chosen), "_id").select("_id", "_toxic", "_text").mapInArrow(hashed, f"_id {kind}, _toxic int, words array<long>").toArrow()
+    found = texts.join(F.broadcast(chosen), "_id")  # bounded by per_class
+    each = found.groupBy("_id", "_toxic").agg(F.sum(F.octet_length("_text")).alias("n")).withColumn("_h", F.xxhash64("_id")).collect()
+    taken = []
+    for y in (0, 1):
+        own, left, at = sorted((r for r in each if r["_toxic"] == y), key=lambda r: (r["_h"], r["_id"])), class_bytes, len(taken)
+        for r in own:
+            if r["n"] <= left:
+                left -= r["n"]
+                taken.append((r["_id"],))
+        if own and len(taken) == at:
+            taken.append((min(own, key=lambda r: r["n"])["_id"],))
+    if len(taken) < len(each):
+        found = found.join(F.broadcast(spark.createDataFrame(taken, f"_id {kind}")), "_id", "left_semi")
+    # texts are cut into words where they are
+    rows = found.select("_id", "_toxic", "_text").mapInArrow(hashed, f"_id {kind}, _toxic int, words array<long>").toArrow()
     toxic = rows.column("_toxic").to_numpy().astype(np.float64)
     if not len(toxic) or toxic.min() == toxic.max():
         return KneserNey(*(np.zeros(k, t) for k, t in ((0, np.uint64), (1, float), (1, float), (0, np.int64), (0, float))), offset=-1.0)

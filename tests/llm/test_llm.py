@@ -755,6 +755,119 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity(docs.limit(0), model).count() == 0
 
 
+def kneser_ney_brute(texts, toxic):
+    """The two models' mean ratio as a function of a text, by dictionaries and loops."""
+    from newsloom.llm.toxicity import KneserNey
+
+    def telling(per_text):
+        """Keys whose share of texts differs between the classes by more than chance."""
+        a, b, big_a, big_b = collections.Counter(), collections.Counter(), sum(toxic), len(toxic) - sum(toxic)
+        for keys, y in zip(per_text, toxic, strict=True):
+            (a if y else b).update(set(keys))
+        out = set()
+        for k in a.keys() | b.keys():
+            p = (a[k] + b[k]) / (big_a + big_b)
+            cells = ((a[k], big_a * p), (big_a - a[k], big_a * (1 - p)), (b[k], big_b * p), (big_b - b[k], big_b * (1 - p)))
+            if sum(2 * x * np.log(x / e) for x, e in cells if x > 0) >= KneserNey.TELLING:
+                out.add(k)
+        return out
+
+    def discount(counts):
+        one, two = sum(n == 1 for n in counts), sum(n == 2 for n in counts)
+        return min(0.95, max(0.5, one / (one + 2 * two))) if one else 0.75
+
+    words = telling([t.split() for t in texts])
+    known = lambda w: w if w in words else None  # noqa: E731  None: any other word
+    pairs_of = lambda ids: list(zip(ids, ids[1:]))
+    every = [[known(w) for w in t.split()] for t in texts]
+    pairs = telling([[p for p in pairs_of(ids) if p != (None, None)] for ids in every])
+    # in how many ways a word follows: different words before it; for other words, how many there are
+    before = collections.defaultdict(set)
+    for t in texts:
+        for v, w in zip(t.split(), t.split()[1:]):
+            if w in words:
+                before[w].add(v)
+    follows = {w: len(before[w]) + 0.5 for w in words} | {None: len({w for t in texts for w in t.split() if w not in words}) + 0.5}
+    shared = {w: n / sum(follows.values()) for w, n in follows.items()}
+    models = []
+    for side in (1, 0):
+        own = [ids for ids, y in zip(every, toxic, strict=True) if y == side]
+        n = collections.Counter(w for ids in own for w in ids)
+        d = discount([n[w] for w in words])
+        p = {w: max(n[w] - d, 0) / max(1, sum(n.values())) for w in shared}
+        uni = {w: p[w] + (1 - sum(p.values())) * shared[w] for w in shared}
+        after = collections.Counter(v for ids in own for v in ids[:-1])
+        c = collections.Counter(q for ids in own for q in pairs_of(ids) if q in pairs)
+        d = discount([c[q] for q in pairs])
+        kept = {q: max(c[q] - d, 0) for q in pairs}
+        lam = {v: 1 - sum(k for q, k in kept.items() if q[0] == v) / (after[v] + 5) for v in shared}
+        models.append((uni, lam, {q: kept[q] / (after[q[0]] + 5) + lam[q[0]] * uni[q[1]] for q in pairs}))
+
+    def mean(t):
+        ids = [known(w) for w in t.split()]
+        total = 0.0
+        for k, w in enumerate(ids):
+            logs = []
+            for uni, lam, two in models:
+                q = (ids[k - 1], w) if k else None
+                logs.append(np.log(two[q]) if q in two else np.log(uni[w]) + (np.log(lam[q[0]]) if q else 0))
+            total += logs[0] - logs[1]
+        return total / len(ids) if ids else 0.0
+
+    return words, pairs, mean
+
+
+def test_kneser_ney_against_brute_force():
+    from newsloom.llm.toxicity import KneserNey, tokens
+
+    r = random.Random(11)
+    plain, rude = [f"w{i}" for i in range(40)], ["moron", "scum", "trash"]
+    texts, toxic = [], []
+    for i in range(120):
+        y = int(i % 3 == 0)
+        own = [r.choice(plain) for _ in range(r.randint(5, 40))]
+        if y:
+            for _ in range(3):
+                at = r.randrange(len(own))
+                own[at : at + 1] = ["you", r.choice(rude)] if r.random() < 0.7 else [r.choice(rude)]
+        elif r.random() < 0.5:
+            own += ["thank", "you"]
+        texts.append(" ".join(own))
+        toxic.append(y)
+    words, pairs, mean = kneser_ney_brute(texts, toxic)
+    hashes, at = tokens(pa.array(texts))
+    model = KneserNey._fit(hashes, at, np.array(toxic, float))
+    assert len(words) == len(model.words) > 2 and len(pairs) == len(model.pairs) > 1
+    probe = [*texts[:40], "you moron", "thank you", "never seen words", "moron", ""]
+    hashes, at = tokens(pa.array(probe))
+    assert model.means(hashes, at).tolist() == pytest.approx([mean(t) for t in probe], abs=1e-9)
+
+
+def test_toxicity_query_never_learns_from_held_out_labels(spark, sf_dir, tmp_path):
+    from newsloom.llm.queries import op9_toxicity
+
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r["doc_id"]: r for r in op9_toxicity(spark, sf_dir).collect()}
+    assert {i: r["held_out"] for i, r in got.items()} == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in got}
+    out = [i for i, r in got.items() if r["held_out"]]
+    flipped = labels.withColumn("toxic", F.when(F.col("doc_id").isin(out), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    docs.withColumns({"source": F.lit("x"), "lang": F.lit("y")}).write.parquet(str(tmp_path / "documents.parquet"))
+    flipped.unionByName(flipped.where("toxic = 1")).write.parquet(str(tmp_path / "labels.parquet"))
+    again = {r["doc_id"]: r["score"] for r in op9_toxicity(spark, str(tmp_path)).collect()}
+    assert again == pytest.approx({i: r["score"] for i, r in got.items()})
+
+
+def test_toxicity_learns_within_its_bounds(spark):
+    from newsloom.llm.toxicity import fit_toxicity
+
+    docs = docs_of(spark, [f"moron scum {i}" if i % 2 else f"thank you {i}" for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(0, 1)], "doc_id bigint, toxic int")
+    whole, few = fit_toxicity(docs, labels), fit_toxicity(docs, labels, class_bytes=1)
+    assert len(whole.words) > 0 and len(few.words) == 0  # one text of each class tells nothing
+    long = docs.withColumn("text", F.when(F.col("doc_id") == 8, F.repeat(F.lit("good "), 500)).otherwise(F.col("text")))
+    assert len(fit_toxicity(long, labels, class_bytes=2000).words) == len(fit_toxicity(docs.where("doc_id <> 8"), labels).words)
+
+
 # pipeline
 
 

@@ -26,12 +26,12 @@ def bottom_k(text: Column, k: int = 128, width: int = 5) -> Column:
         return F.when(n >= width, many).otherwise(whole)
 
     hashed = let(F.transform(found, lambda w: F.xxhash64(w)), shingles)
-    return F.slice(F.array_sort(F.array_distinct(hashed)), 1, k)
+    return F.slice(F.sort_array(F.array_distinct(hashed)), 1, k)
 
 
 def merge(a: Column, b: Column, k: int = 128) -> Column:
     """The sketch of two parts together."""
-    return F.slice(F.array_sort(F.array_union(a, b)), 1, k)
+    return F.slice(F.sort_array(F.array_union(a, b)), 1, k)
 
 
 def resemblance(a: Column, b: Column, k: int = 128) -> Column:

@@ -82,15 +82,15 @@ class Scratch:
 def connected_components(scratch: Scratch, links: DataFrame) -> DataFrame:
     """(node, component) of every node of the undirected links (a, b); component: smallest node.
 
-    Alternating large-star and small-star steps until nothing changes, which
-    takes a number of rounds that grows with the logarithm of the longest
-    chain. The smallest neighbour is found by a partially aggregated group-by
-    and joined back, so that a node with very many links is never gathered
-    into one task. Nodes come from links only; a link (a, a) makes none.
+    Alternating large-star and small-star steps until every node hangs on one
+    smallest node, which takes a number of rounds that grows with the logarithm
+    of the longest chain. The smallest neighbour is found by a partially
+    aggregated group-by and joined back, so that a node with very many links is
+    never gathered into one task. Nodes come from links only; a link (a, a)
+    makes none.
     """
     edges = scratch.write(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         # large star: larger neighbours of u are tied to the least of u's neighbourhood
@@ -101,12 +101,13 @@ def connected_components(scratch: Scratch, links: DataFrame) -> DataFrame:
         joined = large.join(small_least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_least.select("u", F.col("m").alias("v")))
         after = scratch.write(small.where("u <> v").distinct(), "edges")
-        now = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         scratch.drop(edges)
         edges = after
-        if (now["n"], now["s"]) == before:
-            break
-        before = (now["n"], now["s"])
-    # every u hangs on its component's smallest node now; that node is no u itself
-    found = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+    found = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every u of edges (u, v), u > v, has one v, and no v is a u."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("low"), F.lit(0).alias("high")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("low"), F.lit(1).alias("high")))
+    return ends.groupBy("node").agg(F.sum("low").alias("low"), F.max("high").alias("high")).where("low + high > 1 AND low > 0").isEmpty()

@@ -637,4 +637,8 @@ def segment_totals(spark, d):
     return joined.groupBy("c_mktsegment", "n_name").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
+#: Other names of queries over whole tables.
+for _name, _other in (("band_join_72h", "band_join_72h_all"), ("similar_pairs_jaccard", "similar_pairs_jaccard_all"), ("top_highlights", "top_highlights_by_story"), ("distinct_stories", "distinct_story_clusters")):
+    QUERIES[_other], ORACLE_SQL[_other] = QUERIES[_name], ORACLE_SQL[_name]
+
 from newsloom.plans import monitoring  # noqa: E402, F401  its queries register themselves

@@ -401,10 +401,15 @@ def _head(items, spark, d, part: str):
 @query(f"""& {SIZED}, b AS (SELECT min(CAST(published AS DATE)) AS low, greatest(max(CAST(published AS DATE)), DATE '{AS_OF}') AS last FROM item),
 days AS (SELECT unnest(generate_series(greatest(low, last - 59)::TIMESTAMP, last::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day FROM b), per AS (SELECT CAST(published AS DATE) AS day, count(*) AS n FROM item GROUP BY 1)
 SELECT (SELECT count(*) FROM item) AS mentions, (SELECT string_agg(day || ':' || coalesce(n, 0), ' ' ORDER BY day) FROM days LEFT JOIN per USING (day)) AS days, (SELECT string_agg(DISTINCT domain || ':' || type, ' ' ORDER BY domain || ':' || type) FROM outlet WHERE domain IN (SELECT outlet FROM wall)) AS outlets""")
-def payload(spark, d):
+def payload_head(spark, d):
     """The document's head: what does not grow with the wall; its items are payload_items."""
     head = report.payload_head(_published(spark, d), A.outlets(spark, d), F.to_date(F.lit(AS_OF)))
     days = F.array_join(F.transform("days", lambda x: F.concat(x["day"].cast("string"), F.lit(":"), x["n"].cast("string"))), " ")
     outlets = F.array_join(F.array_sort(F.transform("outlets", lambda x: F.concat(x["domain"], F.lit(":"), x["type"]))), " ")
     return head.select(F.col("kpi.mentions").alias("mentions"), days.alias("days"), outlets.alias("outlets"))
 
+
+@query()
+def payload(spark, d):
+    """The whole document as one text, for walls that a reader loads at once."""
+    return report.payload(_published(spark, d), A.outlets(spark, d), F.to_date(F.lit(AS_OF)))

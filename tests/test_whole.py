@@ -60,16 +60,3 @@ def test_highlights_go_by_story_size(spark, table):
 def test_stories_are_counted_by_cluster(spark, table):
     d = table(OPENINGS)
     assert rows(spark, "distinct_story_clusters", d) == [(len(set(dict(rows(spark, "story_clusters", d)).values())),)] == [(5,)]
-
-
-@pytest.mark.parametrize("block", [500_000, 8_000])
-def test_op6_counts_every_target_row(spark, table, monkeypatch, block):
-    from newsloom.llm import scratch
-    from newsloom.llm.quality import importance
-
-    monkeypatch.setattr(scratch, "BLOCK", block, raising=False)
-    n = 21_000
-    d = table([(i, f"common words and w{i % 900} v{i % 7919}", "a") for i in range(n + 500)], [(i, 1, 0) for i in range(n)] + [(3, 1, 0), (n, 0, 0)])
-    docs = spark.read.parquet(f"{d}/documents.parquet")
-    want = {r["doc_id"]: (r["log_weight"], r["kept"]) for r in importance(docs, docs.where(f"doc_id < {n}")).collect()}
-    assert {r["doc_id"]: (r["log_weight"], r["kept"]) for r in entry.queries()["op6_importance_resampling"](spark, d).collect()} == want

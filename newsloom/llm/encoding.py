@@ -105,7 +105,7 @@ class Encoder:
     kept in it.
     """
 
-    def __init__(self, name: str, cached: int = 2_000_000, longest: int = 48, path: str | None = None):
+    def __init__(self, name: str, cached: int = 1_000_000, longest: int = 48, path: str | None = None):
         if not path:
             import public_tokenizers
 

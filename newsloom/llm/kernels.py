@@ -106,7 +106,7 @@ def doubled(hashes: np.ndarray, length: int) -> np.ndarray:
     return mix(hashes[:n] * U(0xD6E8FEB86659FD93) + mix(hashes[length : length + n]))
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 500_000) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about ``most`` bytes of text at most, a longer text alone."""
     data = batch.column(column)
     size = pc.fill_null(pc.binary_length(data), 0).to_numpy(zero_copy_only=False).astype(np.int64)

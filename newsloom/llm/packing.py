@@ -34,7 +34,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
 
         own = encoder(tokenizer, path)
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", 1_000_000):
                 found, at = own.ids(part.column("_text"))
                 ids = np.insert(found, at[1:], end_id).astype("<u4")
                 ends = at[1:] + np.arange(1, len(at))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from newsloom.schemas import TABLES, split_valid
 
@@ -100,17 +102,49 @@ def cover_path(hash_: F.Column, extension: F.Column) -> F.Column:
     return F.concat_ws("/", F.substring(hash_, 1, 2), F.substring(hash_, 3, 2), F.concat(hash_, F.lit("."), extension))
 
 
-def covers(spark: SparkSession, path: str, most_bytes: int = 8 * 1024 * 1024) -> DataFrame:
+def image_size(data: bytes) -> tuple[int, int] | None:
+    """Width and height of a PNG, JPEG or WEBP image from its headers alone; None if they do not tell."""
+    word = lambda at, n, order="big": int.from_bytes(data[at : at + n], order)
+    if data[:8] == b"\x89PNG\r\n\x1a\n" and len(data) >= 24:
+        return word(16, 4), word(20, 4)
+    if data[:4] == b"RIFF" and data[8:12] == b"WEBP" and len(data) >= 30:
+        kind = data[12:16]
+        if kind == b"VP8X":
+            return word(24, 3, "little") + 1, word(27, 3, "little") + 1
+        if kind == b"VP8L":
+            bits = word(21, 4, "little")
+            return (bits & 0x3FFF) + 1, (bits >> 14 & 0x3FFF) + 1
+        if kind == b"VP8 ":
+            return word(26, 2, "little") & 0x3FFF, word(28, 2, "little") & 0x3FFF
+    if data[:2] == b"\xff\xd8":
+        at = 2
+        while at + 9 <= len(data) and data[at] == 0xFF:
+            mark = data[at + 1]
+            if 0xC0 <= mark <= 0xCF and mark not in (0xC4, 0xC8, 0xCC):
+                return word(at + 7, 2), word(at + 5, 2)
+            at += 1 if mark == 0xFF else 2 if mark == 0x01 or 0xD0 <= mark <= 0xD9 else 2 + word(at + 2, 2)
+    return None
+
+
+def covers(spark: SparkSession, path: str, most_bytes: int = 8 * 1024 * 1024, least: tuple[int, int] = (320, 180)) -> DataFrame:
     """Content hash, size, format and dimensions of landed images; pixels are not touched.
 
-    Sizes of PNG are read from its header; images over ``most_bytes`` or of
-    no known format have status failed.
+    Limits are looked at before anything is decoded: images over
+    ``most_bytes``, of no known format or size, or smaller than ``least`` have
+    status failed.
     """
+
+    @pandas_udf("width int, height int")
+    def sides(content: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([image_size(c) or (None, None) for c in content], columns=["width", "height"]).astype("Int32")
+
     files = spark.read.format("binaryFile").load(path)
-    head = F.hex(F.substring("content", 1, 24))
-    kind = F.when(head.startswith("89504E47"), "png").when(head.startswith("FFD8FF"), "jpeg").when(head.startswith("52494646") & (F.substring(head, 17, 8) == "57454250"), "webp")
-    number = lambda at: F.when(kind == "png", F.conv(F.substring(head, at, 8), 16, 10).cast("int"))
-    return files.select("path", F.sha1("content").alias("hash"), F.col("length").alias("bytes"), kind.alias("format"), number(33).alias("width"), number(41).alias("height"), F.when((F.col("length") <= most_bytes) & kind.isNotNull(), "ok").otherwise("failed").alias("status"))
+    head = F.hex(F.substring("content", 1, 12))
+    kind = F.when(head.startswith("89504E47"), "png").when(head.startswith("FFD8FF"), "jpeg").when(head.startswith("52494646") & head.endswith("57454250"), "webp")
+    # a JPEG's sizes may come after long notes; the others' are at the beginning
+    sized = files.withColumns({"format": kind, "s": sides(F.substring("content", 1, 1 << 18))})
+    good = (F.col("length") <= most_bytes) & F.col("format").isNotNull() & (F.col("s.width") >= least[0]) & (F.col("s.height") >= least[1])
+    return sized.select("path", F.sha1("content").alias("hash"), F.col("length").alias("bytes"), "format", "s.width", "s.height", F.when(good, "ok").otherwise("failed").alias("status"))
 
 
 def covers_to_copy(wanted: DataFrame, present: DataFrame) -> DataFrame:

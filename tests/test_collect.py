@@ -4,6 +4,7 @@ import datetime as dt
 import gzip
 import itertools
 import json
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -159,3 +160,16 @@ def test_publish_writes_a_small_head_and_all_items(spark, tmp_path):
     head = json.loads(spark.read.text(str(tmp_path / "head")).first()["value"])
     assert head["kpi"]["mentions"] == 50 and "items" not in head
     assert spark.read.json(str(tmp_path / "items")).count() == 50
+
+
+def test_image_sizes(spark, tmp_path):
+    png = b"\x89PNG\r\n\x1a\n" + b"\0\0\0\rIHDR" + struct.pack(">II", 640, 360)
+    jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xff\xdb\x00\x03x\xff\xc2\x00\x11\x08" + struct.pack(">HH", 181, 321) + b"rest of it"
+    riff = lambda kind, body: b"RIFF\0\0\0\0WEBP" + kind + b"\0\0\0\0" + body + b"\0" * 12
+    lossy, lossless, wide = riff(b"VP8 ", b"\0\0\0\x9d\x01\x2a" + struct.pack("<HH", 400, 300)), riff(b"VP8L", b"\x2f" + struct.pack("<I", 499 | 399 << 14)), riff(b"VP8X", b"\0" * 4 + b"\xff\x03\0\x37\x02\0")
+    want = {png: (640, 360), jpeg: (321, 181), lossy: (400, 300), lossless: (500, 400), wide: (1024, 568), b"": None, b"\xff\xd8\xff": None, jpeg[:20]: None, b"text": None}
+    assert {data: files.image_size(data) for data in want} == want
+    for i, data in enumerate([png, jpeg, wide, b"\xff\xd8\xff\xe0", png.replace(struct.pack(">I", 360), struct.pack(">I", 100))]):
+        (tmp_path / f"{i}.img").write_bytes(data)
+    got = {r["path"].rpartition("/")[2]: (r["format"], r["width"], r["height"], r["status"]) for r in files.covers(spark, str(tmp_path)).collect()}
+    assert got == {"0.img": ("png", 640, 360, "ok"), "1.img": ("jpeg", 321, 181, "ok"), "2.img": ("webp", 1024, 568, "ok"), "3.img": ("jpeg", None, None, "failed"), "4.img": ("png", 640, 100, "failed")}

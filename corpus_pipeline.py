@@ -30,8 +30,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words of windows that also start earlier go from the texts; every document stays, maybe with an empty text."""
-    changed = remove_repeats(docs).where("kept IS NOT NULL AND n_removed > 0").select("doc_id", F.col("kept").alias("_kept")).dropDuplicates(["doc_id"])
+    """Words of windows that also start earlier go from the texts; every document stays, maybe with an empty text.
+
+    Rows of one id with different texts are left as they are.
+    """
+    found = remove_repeats(docs).groupBy("doc_id").agg(F.min("kept_sha256").alias("_low"), F.max("kept_sha256").alias("_high"), F.max("n_removed").alias("_n"), F.max("kept").alias("_kept"))
+    changed = found.where("_kept IS NOT NULL AND _n > 0 AND _low = _high").select("doc_id", "_kept")
     joined = docs.join(changed, "doc_id", "left")
     text = F.coalesce("_kept", "text")
     new = {"text": text, "n_chars": F.when(F.col("_kept").isNotNull(), F.length("_kept").cast("long")).otherwise(F.col("n_chars"))}

@@ -922,3 +922,22 @@ def test_pipeline_on_edges(spark, tmp_path):
         for _, stage in C.STAGES:
             docs = stage(spark, docs, str(tmp_path))
         assert docs.count() >= (name == "odd")
+
+
+def test_repeated_ids_keep_their_own_texts_in_the_pipeline(spark):
+    import corpus_pipeline as C
+
+    words = [f"w{i}" for i in range(60)]
+    long, other = " ".join(words), "other " * 9
+    rows = [(1, long), (2, long + " more"), (3, "head " + long), (3, other), (4, long), (4, long)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = sorted((r["doc_id"], r["text"], r["n_chars"]) for r in C.drop_repeated_passages(spark, docs, "").collect())
+    assert got == [(1, long, len(long)), (2, "more", 4), (3, "head " + long, len(long) + 5), (3, other, len(other)), (4, "", 0), (4, "", 0)]
+
+
+def test_mix_of_thousands_of_sources(spark):
+    from newsloom.llm.mixing import mix
+
+    docs = spark.range(9000).selectExpr("id AS doc_id", "concat('s', id % 3001) AS source")
+    got = [r["source"] for r in mix(docs, block=1).orderBy("mix_position").collect()]
+    assert len(got) == 9000 and len(set(got[:3001])) > 2900  # nearly equal sources take turns

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _roots: dict[str, SparkSession] = {}
-#: Drops an execution's shuffle files when it has ended; nothing reads them again once its table is written.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: an execution's shuffle files are dropped when it has ended, since nothing reads them again
+#: then; and batches to Python workers are of 16 MB, since JVM and worker hold one each.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -63,12 +64,14 @@ class Scratch:
         """Write df and return it read back: its lineage is cut and its shuffle files are dropped."""
         self.n += 1
         path = f"{self.folder}/{self.n:03d}-{label}"
-        held = self.spark.conf.get(_CLEANUP)
-        self.spark.conf.set(_CLEANUP, "true")
+        held = {k: self.spark.conf.get(k) for k in _WRITING}
         try:
+            for k, v in _WRITING.items():
+                self.spark.conf.set(k, v)
             df.write.parquet(path)
         finally:
-            self.spark.conf.set(_CLEANUP, held)
+            for k, v in held.items():
+                self.spark.conf.set(k, v)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

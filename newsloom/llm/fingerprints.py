@@ -11,22 +11,36 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def _words(text: Column) -> Column:
+    """A hash of each word, in their order."""
+    found = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), "[\\x20\\x09-\\x0D]+"), "")
+    return F.transform(found, lambda w: F.xxhash64(w))
+
+
+def _least(h: Column, k: int, width: int) -> Column:
+    """The k smallest hashes of the distinct shingles of hashed words."""
+    n = F.size(h)
+    whole = F.when(n > 0, F.array(F.aggregate(h, F.lit(0).cast("long"), lambda a, x: F.xxhash64(a, x)))).otherwise(F.array().cast("array<long>"))
+    many = F.transform(F.sequence(F.lit(1), F.greatest(n - width + 1, F.lit(1))), lambda i: F.xxhash64(*(F.element_at(h, i + j) for j in range(width))))
+    return F.slice(F.sort_array(F.array_distinct(F.when(n >= width, many).otherwise(whole))), 1, k)
+
+
 def bottom_k(text: Column, k: int = 128, width: int = 5) -> Column:
     """Sorted array<long>: the k smallest hashes of the distinct shingles.
 
     Words are runs without ASCII white space, lower-cased. Fewer words than
     width: the whole sequence is one shingle. No words or null: empty.
     """
-    found = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    return let(_words(text), lambda h: _least(h, k, width))
+
 
-    def shingles(h: Column) -> Column:
-        n = F.size(h)
-        whole = F.when(n > 0, F.array(F.aggregate(h, F.lit(0).cast("long"), lambda a, x: F.xxhash64(a, x)))).otherwise(F.array().cast("array<long>"))
-        many = F.transform(F.sequence(F.lit(1), F.greatest(n - width + 1, F.lit(1))), lambda i: F.xxhash64(*(F.element_at(h, i + j) for j in range(width))))
-        return F.when(n >= width, many).otherwise(whole)
+def with_sketch(rows: DataFrame, text: str, name: str, k: int = 128, width: int = 5) -> DataFrame:
+    """rows with bottom_k of a column beside the others, in two projections.
 
-    hashed = let(F.transform(found, lambda w: F.xxhash64(w)), shingles)
-    return F.slice(F.sort_array(F.array_distinct(hashed)), 1, k)
+    No function of arrays stands inside another's lambda: those are interpreted
+    by recursion, however deep they stand.
+    """
+    return rows.withColumn("_words", _words(F.col(text))).withColumn(name, _least(F.col("_words"), k, width)).drop("_words")
 
 
 def merge(a: Column, b: Column, k: int = 128) -> Column:
@@ -120,19 +134,19 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     own = F.struct(F.col("_range").alias("r"), F.lit(False).alias("ghost"))
     dealt = dealt.select("_id", "_text", "_key", "_hash", F.explode(F.when(F.col("_above").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("_above").alias("r"), F.lit(True).alias("ghost"))))).alias("at"))
     dealt = dealt.select("_id", "_text", "_key", "_hash", "at.r", "at.ghost").repartition("r")
-    sketched = dealt.withColumn("_sketch", bottom_k(F.col("_text"), k, width))
+    sketched = with_sketch(dealt, "_text", "_sketch", k, width)
     before = Window.partitionBy("r").orderBy(F.desc("ghost"), "_key", "_hash")
     nexts = sketched.withColumns({"_next": F.lag("_text").over(before), "_next_sketch": F.lag("_sketch").over(before)}).where("NOT ghost")
     n = F.length("_text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.expr("left(_text, length(_text) - cast(floor(length(_text) / 2) as int))"), F.when(half > 0, F.expr("left(_next, cast(floor(length(_text) / 2) as int))")).otherwise(F.lit("")))
-    out = nexts.select("_id", n.cast("long").alias("n_chars"), "_sketch", "_next_sketch", let(edited, lambda e: F.struct(F.sha2(e.cast("binary"), 256).alias("sha"), bottom_k(e, k, width).alias("sketch"))).alias("e"))
+    out = with_sketch(nexts.select("_id", n.cast("long").alias("n_chars"), "_sketch", "_next_sketch", edited.alias("_edited")), "_edited", "_edited_sketch", k, width)
     return out.select(
         F.col("_id").alias(id_col),
         "n_chars",
-        F.col("e.sha").alias("edited_sha256"),
+        F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
         as_text(F.col("_sketch")).alias("fingerprint"),
-        as_text(F.col("e.sketch")).alias("edited_fingerprint"),
-        resemblance(F.col("_sketch"), F.col("e.sketch"), k).alias("near_edited"),
+        as_text(F.col("_edited_sketch")).alias("edited_fingerprint"),
+        resemblance(F.col("_sketch"), F.col("_edited_sketch"), k).alias("near_edited"),
         resemblance(F.col("_sketch"), F.col("_next_sketch"), k).alias("near_next"),
     )

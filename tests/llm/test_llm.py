@@ -725,6 +725,17 @@ def test_fingerprint_plan_has_no_python(spark, sf_dir):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_fingerprint_plan_nests_no_lambdas(spark, sf_dir):
+    from newsloom.llm.queries import op8_fingerprints
+
+    plan = op8_fingerprints(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    deepest, at = 0, []
+    for opened in re.findall(r"(lambdafunction)?(?:(\()|(\)))", plan):
+        at = [*at, bool(opened[0])] if opened[1] else at[:-1]
+        deepest = max(deepest, sum(at))
+    assert deepest == 1
+
+
 # 9: toxicity
 
 

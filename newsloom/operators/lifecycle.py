@@ -60,7 +60,7 @@ def ingest(raw: DataFrame, stored: DataFrame, required: list[str], penalised: li
     and rows whose address is not known or does not fit (suspect_url), are kept
     as discarded, with the reason. raw: gid, title, url, ...; stored: channel,
     dedupe_hash. Discards are identified by their gid. Of rows with one hash
-    the first counts, by _order (if there) and gid.
+    the first counts, by _order, gid and place (those that are there).
     """
     text = lambda c: F.col(c) if c in raw.columns else F.lit(None).cast("string")
     scored = raw.withColumn("channel", F.lit(channel)).withColumn("relevance", scoring.relevance("title", text("summary"), required, penalised))
@@ -68,7 +68,7 @@ def ingest(raw: DataFrame, stored: DataFrame, required: list[str], penalised: li
     noise, missing = F.col("relevance") < cut, F.col("url").isNull()
     reason = F.when(noise, NOISE).when(missing, F.when(text("suspect_url").isNotNull(), SUSPECT_URL).otherwise(NO_URL))
     hashed = hashed.withColumns({"discard_reason": reason, "state": F.when(reason.isNotNull(), "discarded").otherwise("raw"), "dedupe_hash": F.when(reason.isNotNull(), F.sha1(F.concat(F.lit("search:"), F.col("gid")).cast("binary"))).otherwise(F.col("dedupe_hash"))})
-    first = hard_dedupe(hashed, ["channel", "dedupe_hash"], ["_order", "gid"] if "_order" in raw.columns else ["gid"])
+    first = hard_dedupe(hashed, ["channel", "dedupe_hash"], [c for c in ("_order", "gid", "place") if c in raw.columns])
     known = stored.select("channel", "dedupe_hash").distinct().withColumn("_known", F.lit(True))
     told = first.join(known, ["channel", "dedupe_hash"], "left")
     outcome = F.when(F.col("_known"), "repeated").when(F.col("discard_reason") == NOISE, "noise").when(F.col("discard_reason").isNotNull(), "no-url").otherwise("new")

@@ -40,7 +40,7 @@ def _collected(spark, d):
     m = A.mentions(spark, d).select(F.col("id").alias("page_id"), "title", "outlet", "published")
     p = _t(spark, d, "pages").select("page_id", "url").join(m, "page_id")
     search = p.select(F.lit("search").alias("collector"), (F.col("page_id") % 7).alias("query_id"), F.col("page_id").alias("place"), F.concat(F.lit("g"), F.expr("page_id div 2")).alias("gid"), "title", "url", "published", F.when(F.col("page_id") % 4 > 0, F.col("outlet")).alias("outlet_domain"), F.lit("q").alias("expression"))
-    native = p.where("page_id % 5 = 0").select("title", text.canonical_url("url").alias("gid"), F.concat("url", F.when(F.col("url").contains("?"), "&fbclid=1").otherwise("?fbclid=1")).alias("url"), "published", F.col("outlet").alias("outlet_domain"), F.concat(F.lit("https://f"), F.col("page_id") % 3, F.lit("/rss")).alias("expression"))
+    native = p.where("page_id % 5 = 0").select(F.col("page_id").alias("place"), "title", text.canonical_url("url").alias("gid"), F.concat("url", F.when(F.col("url").contains("?"), "&fbclid=1").otherwise("?fbclid=1")).alias("url"), "published", F.col("outlet").alias("outlet_domain"), F.concat(F.lit("https://f"), F.col("page_id") % 3, F.lit("/rss")).alias("expression"))
     native = native.withColumn("url", F.regexp_replace("url", "^([^#]*)#([^?&]*)([?&].*)$", "$1$3#$2"))
     stored = dedupe.with_dedupe_hash(p.where("page_id % 6 = 0")).select(F.lit("press").alias("channel"), "dedupe_hash", (F.col("page_id") + 10**9).alias("id"), "title", "published", (F.col("page_id") + 10**9).alias("story_id"))
     resolve = lambda items: items.withColumn("url", F.when(F.col("place") % 9 > 0, F.col("url")))

@@ -32,6 +32,12 @@ def test_ingest(spark):
     assert got.where("outcome = 'new'").first()["gid"] == "a"
 
 
+def test_first_of_equal_gids_is_that_of_the_least_place(spark):
+    raw = spark.createDataFrame([(g, "porto", f"https://x.com/{g}", p) for g, places in (("a", (9, 3, 5)), ("b", (2, 8, 4)), ("c", (7, 6, 1))) for p in places], "gid string, title string, url string, place bigint").coalesce(1)
+    none = spark.createDataFrame([], "channel string, dedupe_hash string")
+    assert {r["gid"]: r["place"] for r in L.ingest(raw, none, ["porto"], []).collect()} == {"a": 3, "b": 2, "c": 1}
+
+
 def test_enrich_retag_reset(spark):
     base = items(spark, [row(1, "porto"), row(2, "esporte"), row(3, "porto"), row(4, "x", "discarded", L.OFF_TOPIC, "porto")])
     pages = spark.createDataFrame([(1, None, "t", "new summary", "Ana", "c.png", AT, "text"), (2, None, "t", None, None, None, None, None), (3, "http 403", None, None, None, None, None, None)], "id bigint, error string, title string, summary string, author string, cover string, published timestamp, body string")

@@ -97,11 +97,10 @@ def clamp_score(score: Column | str) -> Column:
 def check_evidence(quotes: Column | str, text: Column | str, confidence: Column | str) -> Column:
     """struct(valid array, confidence): quotes whose first 70 characters are in the text, in lower case.
 
-    No quote, or one that is missing, makes the confidence low; else the given one, or medium.
+    No quote, or one that is missing or empty, makes the confidence low; else the given one, or medium.
     """
     quotes, text = F.coalesce(_c(quotes), F.array().cast("array<string>")), F.lower(F.coalesce(_c(text), F.lit("")))
-    quotes = F.filter(quotes, lambda q: q.isNotNull() & (q != ""))
-    valid = F.filter(quotes, lambda q: text.contains(F.substring(F.lower(q), 1, 70)))
+    valid = F.filter(quotes, lambda q: q.isNotNull() & (q != "") & text.contains(F.substring(F.lower(q), 1, 70)))
     level = F.when((F.size(quotes) == 0) | (F.size(valid) < F.size(quotes)), "low").otherwise(F.coalesce(_c(confidence), F.lit("medium")))
     return F.struct(valid.alias("valid"), level.alias("confidence"))
 

@@ -115,6 +115,9 @@ def test_evidence(spark):
     assert check(F.array(F.lit("quick"), F.lit("slow")))["confidence"] == "low"
     assert check(F.array().cast("array<string>"))["confidence"] == "low"
     assert check(F.array(F.lit("y" * 70 + " never said")))["valid"] == ["y" * 70 + " never said"]
+    for blank in ("", None):  # counts as a quote that is not there
+        got = check(F.array(F.lit("quick"), F.lit(blank).cast("string")))
+        assert (got["valid"], got["confidence"]) == (["quick"], "low")
 
 
 def test_simhash(spark):

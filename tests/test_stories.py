@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 
 from newsloom.operators import stories
@@ -126,3 +127,26 @@ def test_online_against_all_pairs(spark):
             if q and story is not None and abs(p - q) <= dt.timedelta(hours=72) and len(a & b) >= 3 and len(a & b) / len(a | b) >= 0.3:
                 best = max(best, (len(a & b) / len(a | b), -j, story))
         assert got[i] == best[2]
+
+
+def test_undated_titles_are_compared_by_word_sets(spark, monkeypatch):
+    """Copies in many slots: their words are compared once, their rows spelled out in small runs."""
+    compared, real = [], stories._set_pairs
+    monkeypatch.setattr(stories, "_set_pairs", lambda sets, *a: compared.append(sets.count()) or real(sets, *a))
+    monkeypatch.setattr(stories, "ROWS", 2)
+    rows = [(i, ("port opens new pier", "port opens new bridge")[i % 2], None if i % 5 == 0 else DAY + dt.timedelta(hours=90 * i)) for i in range(20)]
+    items = spark.createDataFrame(rows, "id bigint, title string, published timestamp")
+    want = brute(rows)
+    got = sorted((r["a"], r["b"]) for r in stories.similar_pairs(items).collect())
+    assert got == sorted(want)
+    assert {r["id"]: r["story_id"] for r in stories.stories(items).collect()} == closure([i for i, *_ in rows], want)
+    assert compared == [2, 2]
+
+
+def test_forests_join_what_their_links_join():
+    r = random.Random(3)
+    links = [(r.randrange(300), 300 + r.randrange(300)) for _ in range(400)] + [(i, i + 1) for i in range(1000, 1100)]
+    got = stories._spanning(np.array(links))
+    ids = {i for link in links for i in link}
+    want = closure(ids, links)
+    assert closure(ids, map(tuple, got.tolist())) == want and len(got) == len(ids) - len(set(want.values()))
